@@ -60,8 +60,8 @@ def _all_buckets(counts: DataFrame, step: str) -> DataFrame:
     # The buckets that start inside day d, clipped to the range; a step that does not divide the day still fits.
     inside = days.select(
         F.greatest(first, "lo").alias("a"), F.least((F.col("d") + 1) * day - 1, F.col("hi")).alias("b"))
-    return inside.where("a <= b").select(
-        F.timestamp_micros(F.explode(F.sequence("a", "b", F.lit(width)))).alias("bucket"))
+    starts = inside.where("a <= b").select(F.explode(F.sequence("a", "b", F.lit(width))).alias("start"))
+    return starts.select(F.timestamp_micros("start").alias("bucket"))
 
 
 _STRIDE = 8
