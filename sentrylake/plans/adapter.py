@@ -1,14 +1,18 @@
 """The generic ``events`` table seen as connection events, intrusion alerts and a benchmark corpus.
 
-Every view is one projection of the table. ``CTES`` states the same views for the SQL check.
+As after any ingest, the normalised rows are written once per session, sorted by time, and the queries read that table.
+``CTES`` states the same views for the SQL check.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.functions.net import conn_message, related_ips
+from sentrylake.session import shared_dir
 from sentrylake.streaming.eventtime import with_event_time
 
 PORTS = (22, 53, 80, 443, 8080, 8443, 3306, 5353)
@@ -21,22 +25,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def derived(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
+    """Folder of an input that Spark derives from the given tables; written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _WRITTEN:
+        path = shared_dir(spark, label)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
-def _base(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    user = F.col("user_id")
+def _normalised(events: DataFrame) -> DataFrame:
+    k, user = F.col("k"), F.col("user_id")
     low = (user % 250).cast("string")
     protocol: Column = F.lit(None).cast("string")
     for kind, name in PROTOCOLS.items():
         protocol = F.when(F.col("event_type") == kind, name).otherwise(protocol)
     sent = F.round(F.col("value") * 1000).cast("bigint")
-    return events.select(
-        "event_id", F.col("ts").cast("timestamp").alias("event_timestamp"), F.col("event_type").alias("kind"), "user_id", "value",
-        k.alias("k"),
+    parsed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return parsed.select(
+        "event_id", F.col("ts").cast("timestamp").alias("event_timestamp"), F.col("event_type").alias("kind"), "user_id",
+        "value", "k",
         F.when(user % 3 == 0, F.concat(F.lit("203.0.113."), low))
         .otherwise(F.concat(F.lit("192.168."), F.floor(user / 250).cast("string"), F.lit("."), low)).alias("source_ip"),
         (F.lit(1024) + F.col("event_id") % 60000).cast("int").alias("source_port"),
@@ -52,6 +64,25 @@ def _base(events: DataFrame) -> DataFrame:
     ).withColumns({"related_ip": related_ips("source_ip", "destination_ip"), "message": conn_message()})
 
 
+def _events_folder(spark: SparkSession, sf_dir: str) -> str:
+    def write(path: str) -> None:
+        # As many files as the cluster runs shuffle tasks, each a contiguous, sorted range of time.
+        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = _normalised(table(spark, sf_dir, "events"))
+        rows.repartitionByRange(files, "event_timestamp").sortWithinPartitions("event_timestamp").write.parquet(path)
+
+    return derived(spark, sf_dir, "events", write)
+
+
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_events_folder(spark, sf_dir))
+
+
+def _base_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _events_folder(spark, sf_dir)
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
 def _ids_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "event_severity": (F.lit(1) + F.col("k") % 3).cast("int"),
@@ -73,29 +104,31 @@ def _timed(df: DataFrame, delay: str | None) -> DataFrame:
     return df.withColumn("event_time", F.col("event_timestamp"))
 
 
+def _errors(rows: DataFrame) -> DataFrame:
+    return _ids_labels(_ids_columns(rows.where(F.col("kind") == "error")))
+
+
 def conns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a connection."""
-    return _timed(_conn_labels(_base(table(spark, sf_dir, "events"))), None)
+    return _timed(_conn_labels(_base(spark, sf_dir)), None)
 
 
 def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The error events as intrusion alerts."""
-    errors = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
-    return _timed(_ids_labels(_ids_columns(_base(errors))), None)
+    return _timed(_errors(_base(spark, sf_dir)), None)
 
 
 def conn_stream(spark: SparkSession, sf_dir: str, delay: str = "30 seconds") -> DataFrame:
-    return _timed(_conn_labels(_base(events_stream(spark, sf_dir))), delay)
+    return _timed(_conn_labels(_base_stream(spark, sf_dir)), delay)
 
 
 def ids_stream(spark: SparkSession, sf_dir: str, delay: str = "30 seconds") -> DataFrame:
-    errors = events_stream(spark, sf_dir).where(F.col("event_type") == "error")
-    return _timed(_ids_labels(_ids_columns(_base(errors))), delay)
+    return _timed(_errors(_base_stream(spark, sf_dir)), delay)
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event once: error events as intrusion alerts, the others as connections, tagged as one run."""
-    base = _ids_columns(_base(table(spark, sf_dir, "events")))
+    base = _ids_columns(_base(spark, sf_dir))
     error = F.col("kind") == "error"
     return base.withColumns({
         "event_kind": F.when(error, "alert").otherwise("event"),

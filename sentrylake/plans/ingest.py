@@ -13,7 +13,7 @@ from sentrylake.operators.joins import count_delta
 from sentrylake.plans import adapter as a
 from sentrylake.plans.detect import ORACLES as RULE_SQL
 from sentrylake.plans.detect import RULES
-from sentrylake.schemas import ALERT_FIELDS, CONN_SCHEMA, dotted_schema, to_dotted, to_flat, union_events
+from sentrylake.schemas import ALERT_FIELDS, CONN_FIELDS, CONN_SCHEMA, dotted_schema, flat_name, to_dotted, to_flat, union_events
 from sentrylake.session import shared_dir
 from sentrylake.sinks.documents import (
     conn_key, document, ids_key, to_serving, with_event_key, write_alerts, write_by, write_results)
@@ -43,9 +43,8 @@ def _conn_lines(spark: SparkSession, sf_dir: str) -> str:
         "value", "source_bytes", "destination_bytes", F.lit("SF"), F.when(F.col("k") % 2 == 0, "T").otherwise("F"), F.lit(0),
         F.lit("ShADfFa"), F.col("k"), F.lit(40), F.lit(None), F.lit(40), parents,
     ]
-    path = shared_dir(spark, "conn-log")
-    c.select(F.concat_ws("\t", *[_text(f) for f in fields])).write.mode("overwrite").text(path)
-    return path
+    lines = c.select(F.concat_ws("\t", *[_text(f) for f in fields]))
+    return a.derived(spark, sf_dir, "conn-log", lambda path: lines.write.text(path))
 
 
 def _parse_conn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,10 +76,9 @@ def _ids_blocks(spark: SparkSession, sf_dir: str) -> str:
                  F.lit(" IpLen:20 DgmLen:60 DF")),
         F.when(tcp, F.lit("***AP*** Seq: 0x1  Ack: 0x2  Win: 0x2000  TcpLen: 20")),
         F.lit("[Xref => url,first.example]"), F.lit("[Xref => url,last.example]")))
-    path = shared_dir(spark, "ids-blocks")
     # The writer ends each record with a line feed, so this leaves one blank line between blocks.
-    i.select(F.concat(F.array_join(lines, "\n"), F.lit("\n"))).write.mode("overwrite").text(path)
-    return path
+    blocks = i.select(F.concat(F.array_join(lines, "\n"), F.lit("\n")))
+    return a.derived(spark, sf_dir, "ids-blocks", lambda path: blocks.write.text(path))
 
 
 def _parse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,18 +96,14 @@ def _ids_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("rule_id", "rule_name", "event_severity")
 
 
-def _documents(spark: SparkSession, sf_dir: str, kind: str = "json") -> str:
+def _documents(spark: SparkSession, sf_dir: str) -> str:
     """Connection documents as JSON lines; cut short where k is 13, with a port of the wrong type where k is 14."""
-    have = set(a.conns(spark, sf_dir).columns)
-    c = a.conns(spark, sf_dir).select([n for n in to_flat(spark.createDataFrame([], CONN_SCHEMA)).columns if n in have])
-    k = a.table(spark, sf_dir, "events").select(F.concat(F.lit("C"), "event_id").alias("zeek_conn_uid"),
-                                                F.get_json_object("props", "$.k").cast("int").alias("k"))
-    doc = document(c)
-    broken = F.when(F.col("k") == 13, F.substring(doc, 1, 40)) \
-        .when(F.col("k") == 14, F.regexp_replace(doc, '"destination.port":[0-9]+', '"destination.port":"odd"')).otherwise(doc)
-    path = shared_dir(spark, f"documents-{kind}")
-    c.join(k, "zeek_conn_uid").select(broken.alias("value")).write.mode("overwrite").text(path)
-    return path
+    c = a.conns(spark, sf_dir)
+    doc = document(c.select([n for n in map(flat_name, CONN_FIELDS) if n in c.columns]))
+    odd = F.regexp_replace(doc, '"destination.port":[0-9]+', '"destination.port":"odd"')
+    broken = F.when(F.col("k") == 13, F.substring(doc, 1, 40)).when(F.col("k") == 14, odd).otherwise(doc)
+    lines = c.select(broken.alias("value"))
+    return a.derived(spark, sf_dir, "documents", lambda path: lines.write.text(path))
 
 
 def _decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:

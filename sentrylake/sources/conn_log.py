@@ -44,9 +44,10 @@ def _reason() -> Column:
 def parse_conn_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Log lines -> (events, rejects). Comments and blank lines are in neither; works on streams too."""
     line = F.btrim(F.col(column), F.lit(_BLANKS))
-    split = (
-        lines.select(line.alias("line")).where((F.col("line") != "") & ~F.col("line").startswith("#"))
-        .withColumn("part", F.split("line", r"\s+")).withColumn("reason", _reason()))
+    kept = lines.select(line.alias("line")).where((F.col("line") != "") & ~F.col("line").startswith("#"))
+    # Generating the fields as a row of their own makes Spark split a line once: the conditions on the fields below
+    # would otherwise be moved under the projection, with the split repeated in each of them.
+    split = kept.select("line", F.explode(F.array(F.split("line", r"\s+"))).alias("part")).withColumn("reason", _reason())
     return _events(split.where(F.col("reason").isNull())), split.where(F.col("reason").isNotNull()).select("line", "reason")
 
 

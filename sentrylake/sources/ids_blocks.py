@@ -44,7 +44,9 @@ def parse_ids_blocks(records: DataFrame, column: str = "value", year: int = 2012
     path = F.col("log_file_path") if "log_file_path" in records.columns else F.lit(None).cast("string")
     blocks = records.select(path.alias("log_file_path"), F.explode(F.split(column, _BLANK_LINES)).alias("raw"))
     kept = F.filter(F.split("raw", r"\r\n|\n|\r"), lambda line: F.btrim(line, F.lit(_BLANKS)) != "")
-    listed = blocks.select("log_file_path", kept.alias("kept")).where(F.size("kept") > 0).select(
+    # Generating the lines as a row of their own makes Spark split a block once, not once per condition below.
+    listed = blocks.where(F.btrim("raw", F.lit(_BLANKS)) != "").select(
+        "log_file_path", F.explode(F.array(kept)).alias("kept")).select(
         "log_file_path", F.array_join("kept", "\n").alias("block"),
         F.transform("kept", lambda line: F.btrim(line, F.lit(_BLANKS))).alias("lines"))
 
