@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from string import Formatter
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from sentrylake.schemas import ALERT_SCHEMA
 
@@ -24,46 +24,56 @@ class RuleMeta:
     event_type: tuple[str, ...]
 
 
-def iso(column: Column | str) -> Column:
+def iso(column: str) -> str:
     """Timestamp text of alert documents: milliseconds, no zone suffix."""
-    return F.date_format(column, ISO_MILLIS)
+    return f"date_format({column}, '{_quote(ISO_MILLIS)}')"
 
 
-def text(column: Column | str) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("string")
+def _quote(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def sentence(*parts: Column | str) -> Column:
-    """Concatenate literals (str) and columns; NULL if any part is NULL."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def say(template: str) -> str:
+    """SQL for a sentence with ``{expression}`` parts; NULL if any part is NULL."""
+    pieces = []
+    for literal, expression, _, _ in Formatter().parse(template):
+        if literal:
+            pieces.append(f"'{_quote(literal)}'")
+        if expression:
+            pieces.append(f"CAST({expression} AS STRING)")
+    return f"concat({', '.join(pieces)})"
 
 
-def escalate(metric: Column, threshold: int, high: int, low: int) -> Column:
+def escalate(metric: str, threshold: int, high: int, low: int) -> str:
     """``high`` severity at twice the threshold, else ``low``."""
-    return F.when(metric >= 2 * threshold, high).otherwise(low)
+    return f"if({metric} >= {2 * threshold}, {high}, {low})"
 
 
-def strings(values: tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def _texts(values: tuple[str, ...]) -> str:
+    return f"array({', '.join(repr(v) for v in values)})"
 
 
-def to_alert(df: DataFrame, rule: RuleMeta, producer: str = PRODUCER, **columns: Column) -> DataFrame:
-    """Project rule output to the alert schema; fields not given are typed NULLs."""
+def to_alert(df: DataFrame, rule: RuleMeta, producer: str = PRODUCER, **columns: str) -> DataFrame:
+    """Project rule output to the alert schema.
+
+    ``columns`` are SQL expressions over ``df``; fields not given are typed NULLs.
+    """
+    rule_id = f"'{_quote(producer)}.{rule.name}'"
     values = {
-        "event_kind": F.lit("alert"),
-        "event_category": strings(rule.event_category),
-        "event_type": strings(rule.event_type),
-        "event_module": F.lit(producer),
-        "event_dataset": F.lit("siem.alert"),
-        "rule_id": F.lit(f"{producer}.{rule.name}"),
-        "rule_name": F.lit(rule.name),
-        "rule_category": F.lit(rule.category),
-        "pipeline": F.lit(f"{producer}.{rule.name}"),
+        "event_kind": "'alert'",
+        "event_category": _texts(rule.event_category),
+        "event_type": _texts(rule.event_type),
+        "event_module": f"'{_quote(producer)}'",
+        "event_dataset": "'siem.alert'",
+        "rule_id": rule_id,
+        "rule_name": f"'{rule.name}'",
+        "rule_category": f"'{rule.category}'",
+        "pipeline": rule_id,
         **columns,
     }
     unknown = set(values) - set(ALERT_SCHEMA.names)
     if unknown:
         raise ValueError(f"not in the alert schema: {sorted(unknown)}")
-    return df.select([
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ALERT_SCHEMA
+    return df.selectExpr(*[
+        f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in ALERT_SCHEMA
     ])

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrylake.functions.alerts import PRODUCER, RuleMeta, escalate, iso, sentence, text, to_alert
+from sentrylake.functions.alerts import PRODUCER, RuleMeta, escalate, iso, say, to_alert
 from sentrylake.functions.net import INTERNAL_PATTERNS, is_internal
 from sentrylake.operators.joins import interval_join
 
@@ -100,10 +100,9 @@ def _scope(df: DataFrame, wanted: Column, keys: list[str]) -> DataFrame:
     return df.withColumns({"_hit": hit, **{k: F.when(hit, F.col(k)) for k in keys}})
 
 
-def _window_text() -> dict[str, Column]:
-    return {
-        "event_timestamp": iso("window.end"), "window_start": iso("window.start"), "window_end": iso("window.end"),
-    }
+_WINDOW_TEXT = {
+    "event_timestamp": iso("window.end"), "window_start": iso("window.start"), "window_end": iso("window.end"),
+}
 
 
 def port_scan_counts(conns: DataFrame, cfg: PortScan = PortScan(), time_col: str = "event_time") -> DataFrame:
@@ -117,7 +116,7 @@ def port_scan_counts(conns: DataFrame, cfg: PortScan = PortScan(), time_col: str
             sum0("network_bytes").alias("bytes"))
     contacts = F.array(
         F.struct(F.lit(True).alias("is_ip"), F.col("destination_ip").alias("peer")),
-        F.struct(F.lit(False).alias("is_ip"), text("destination_port").alias("peer")))
+        F.struct(F.lit(False).alias("is_ip"), F.col("destination_port").cast("string").alias("peer")))
     per_peer = (
         conns.select(time_col, "source_ip", "network_bytes", F.explode(contacts).alias("contact"))
         .groupBy(window, "source_ip", F.col("contact.is_ip").alias("is_ip"), F.col("contact.peer").alias("peer"))
@@ -134,27 +133,26 @@ def detect_port_scan(
     conns: DataFrame, cfg: PortScan = PortScan(), time_col: str = "event_time", producer: str = PRODUCER,
 ) -> DataFrame:
     """One source reaching many destination ports or many addresses within a sliding window."""
-    ports, ips = F.col("ports"), F.col("ips")
-    found = port_scan_counts(conns, cfg, time_col).where((ports >= cfg.ports) | (ips >= cfg.ips))
-    minutes = cfg.window.split()[0] if "minute" in cfg.window else cfg.window
+    found = port_scan_counts(conns, cfg, time_col).where(f"ports >= {cfg.ports} OR ips >= {cfg.ips}")
+    amount, unit = cfg.window.split()
+    length = f"{amount} minute(s)" if unit.startswith("minute") else cfg.window
     return to_alert(
-        found, PORT_SCAN_RULE, producer, **_window_text(),
-        event_severity=F.when((ports >= 2 * cfg.ports) | (ips >= 2 * cfg.ips), 2).otherwise(3),
-        source_ip=F.col("source_ip"),
-        network_bytes=F.col("bytes"),
-        alert_reason=sentence(
-            "Source IP ", F.col("source_ip"), " contacted ", ports, " unique destination ports across ", ips,
-            f" destination IPs in {minutes} minute(s)." if minutes.isdigit() else f" destination IPs in {minutes}."),
-        alert_evidence=sentence(
-            "flow_count=", F.col("flows"), ", unique_destination_ports=", ports, ", unique_destination_ips=", ips,
-            ", total_network_bytes=", F.col("bytes")),
-        alert_count=F.col("flows"),
-        related_ip=F.array("source_ip"),
-        message=sentence("Possible port scan from ", F.col("source_ip")),
-        zeek_scan_unique_destination_ports=ports,
-        zeek_scan_unique_destination_ips=ips,
-        zeek_volume_total_bytes=F.col("bytes"),
-        zeek_connection_count=F.col("flows"))
+        found, PORT_SCAN_RULE, producer, **_WINDOW_TEXT,
+        event_severity=f"if(ports >= {2 * cfg.ports} OR ips >= {2 * cfg.ips}, 2, 3)",
+        source_ip="source_ip",
+        network_bytes="bytes",
+        alert_reason=say(
+            "Source IP {source_ip} contacted {ports} unique destination ports across {ips} destination IPs in " + length + "."),
+        alert_evidence=say(
+            "flow_count={flows}, unique_destination_ports={ports}, unique_destination_ips={ips}, "
+            "total_network_bytes={bytes}"),
+        alert_count="flows",
+        related_ip="array(source_ip)",
+        message=say("Possible port scan from {source_ip}"),
+        zeek_scan_unique_destination_ports="ports",
+        zeek_scan_unique_destination_ips="ips",
+        zeek_volume_total_bytes="bytes",
+        zeek_connection_count="flows")
 
 
 def detect_top_talkers(
@@ -170,23 +168,21 @@ def detect_top_talkers(
         .groupBy(F.window(time_col, cfg.window), F.col("role.direction").alias("direction"),
                  F.col("role.host").alias("host"))
         .agg(F.count("*").alias("flows"), sum0("network_bytes").alias("bytes")))
-    host, direction, total = F.col("host"), F.col("direction"), F.col("bytes")
-    found = volumes.where(host.isNotNull() & (total >= cfg.bytes) & (F.col("flows") >= cfg.flows))
+    found = volumes.where(f"host IS NOT NULL AND bytes >= {cfg.bytes} AND flows >= {cfg.flows}")
     return to_alert(
-        found, TOP_TALKER_RULE, producer, **_window_text(),
-        event_severity=escalate(total, cfg.bytes, 2, 3),
-        source_ip=F.when(direction == "source", host),
-        destination_ip=F.when(direction == "destination", host),
-        network_bytes=total,
-        alert_reason=sentence("Host ", host, " exceeded the top-talker threshold as ", direction, "."),
-        alert_evidence=sentence(
-            "direction=", direction, ", total_bytes=", total, ", flow_count=", F.col("flows")),
-        alert_count=F.col("flows"),
-        related_ip=F.array(host),
-        message=sentence("High-volume ", direction, " host detected: ", host),
-        zeek_volume_direction=direction,
-        zeek_volume_total_bytes=total,
-        zeek_connection_count=F.col("flows"))
+        found, TOP_TALKER_RULE, producer, **_WINDOW_TEXT,
+        event_severity=escalate("bytes", cfg.bytes, 2, 3),
+        source_ip="if(direction = 'source', host, NULL)",
+        destination_ip="if(direction = 'destination', host, NULL)",
+        network_bytes="bytes",
+        alert_reason=say("Host {host} exceeded the top-talker threshold as {direction}."),
+        alert_evidence=say("direction={direction}, total_bytes={bytes}, flow_count={flows}"),
+        alert_count="flows",
+        related_ip="array(host)",
+        message=say("High-volume {direction} host detected: {host}"),
+        zeek_volume_direction="direction",
+        zeek_volume_total_bytes="bytes",
+        zeek_connection_count="flows")
 
 
 def detect_exfiltration(
@@ -205,28 +201,25 @@ def detect_exfiltration(
         F.count("destination_ip").alias("peers"),
         F.min("destination_ip").alias("sample"),
         *[F.sum(m).alias(m) for m in measures])
-    found = per_source.where(
-        (F.col("source_bytes") >= cfg.bytes) & (F.col("flows") >= max(cfg.flows, 1)))
-    source, sample = F.col("source_ip"), F.col("sample")
+    found = per_source.where(f"source_bytes >= {cfg.bytes} AND flows >= {max(cfg.flows, 1)}")
     return to_alert(
-        found, EXFILTRATION_RULE, producer, **_window_text(),
-        event_severity=escalate(F.col("source_bytes"), cfg.bytes, 1, 2),
-        source_ip=source,
-        destination_ip=sample,
-        network_bytes=F.col("network_bytes"),
-        alert_reason=sentence(
-            "Internal source ", source, " sent sustained outbound traffic to external destinations."),
-        alert_evidence=sentence(
-            "total_source_bytes=", F.col("source_bytes"), ", total_destination_bytes=", F.col("destination_bytes"),
-            ", total_network_bytes=", F.col("network_bytes"), ", destination_count=", F.col("peers")),
-        alert_count=F.col("flows"),
-        related_ip=F.array(source, sample),
-        message=sentence("Possible exfiltration from ", source),
-        zeek_scan_unique_destination_ips=F.col("peers"),
-        zeek_volume_direction=F.lit("source"),
-        zeek_volume_total_bytes=F.col("network_bytes"),
-        zeek_connection_count=F.col("flows"),
-        correlation_type=F.lit("internal-to-external"))
+        found, EXFILTRATION_RULE, producer, **_WINDOW_TEXT,
+        event_severity=escalate("source_bytes", cfg.bytes, 1, 2),
+        source_ip="source_ip",
+        destination_ip="sample",
+        network_bytes="network_bytes",
+        alert_reason=say("Internal source {source_ip} sent sustained outbound traffic to external destinations."),
+        alert_evidence=say(
+            "total_source_bytes={source_bytes}, total_destination_bytes={destination_bytes}, "
+            "total_network_bytes={network_bytes}, destination_count={peers}"),
+        alert_count="flows",
+        related_ip="array(source_ip, sample)",
+        message=say("Possible exfiltration from {source_ip}"),
+        zeek_scan_unique_destination_ips="peers",
+        zeek_volume_direction="'source'",
+        zeek_volume_total_bytes="network_bytes",
+        zeek_connection_count="flows",
+        correlation_type="'internal-to-external'")
 
 
 def repeated_list(pairs: Column, value: str, times: str) -> Column:
@@ -250,22 +243,21 @@ def detect_alert_burst(
         F.sum("n").alias("alerts"),
         F.min("sample").alias("sample"),
         F.collect_list(F.when(F.col("rule_id").isNotNull(), F.struct("rule_id", "n"))).alias("rules"))
-    found = per_source.where(F.col("alerts") >= max(cfg.count, 1)).withColumn(
+    found = per_source.where(f"alerts >= {max(cfg.count, 1)}").withColumn(
         "rule_list", repeated_list(F.sort_array("rules"), "rule_id", "n"))
-    source, alerts = F.col("source_ip"), F.col("alerts")
     return to_alert(
-        found, BURST_RULE, producer, **_window_text(),
-        event_severity=escalate(alerts, cfg.count, 1, 2),
-        source_ip=source,
-        destination_ip=F.col("sample"),
-        alert_reason=sentence("Source IP ", source, " triggered repeated critical Snort alerts."),
-        alert_evidence=sentence("alert_count=", alerts, ", rule_ids=", F.col("rule_list")),
-        alert_count=alerts,
-        alert_rule_ids=F.col("rule_list"),
-        related_ip=F.array("source_ip", "sample"),
-        message=sentence("Repeated critical Snort alerts from ", source),
-        zeek_connection_count=alerts,
-        correlation_type=F.lit("snort-burst"))
+        found, BURST_RULE, producer, **_WINDOW_TEXT,
+        event_severity=escalate("alerts", cfg.count, 1, 2),
+        source_ip="source_ip",
+        destination_ip="sample",
+        alert_reason=say("Source IP {source_ip} triggered repeated critical Snort alerts."),
+        alert_evidence=say("alert_count={alerts}, rule_ids={rule_list}"),
+        alert_count="alerts",
+        alert_rule_ids="rule_list",
+        related_ip="array(source_ip, sample)",
+        message=say("Repeated critical Snort alerts from {source_ip}"),
+        zeek_connection_count="alerts",
+        correlation_type="'snort-burst'")
 
 
 def detect_correlation(
@@ -273,54 +265,50 @@ def detect_correlation(
     producer: str = PRODUCER,
 ) -> DataFrame:
     """A severe alert followed by high-volume traffic of the same source within the window."""
-    severity, total = F.col("severity"), or_zero("bytes")
-    left = ids.where(F.col("event_severity") <= cfg.severity_max).select(
-        "source_ip", F.col(time_col).alias("alert_time"), F.col("event_severity").alias("severity"),
-        F.col("rule_id").alias("fired"))
-    right = conns.where(or_zero("network_bytes") >= cfg.bytes).select(
-        "source_ip", F.col(time_col).alias("flow_time"), F.col("destination_ip").alias("peer"),
-        F.col("destination_port").alias("port"), F.col("network_bytes").alias("bytes"),
-        F.col("zeek_conn_uid").alias("uid"))
+    left = ids.where(f"event_severity <= {cfg.severity_max}").selectExpr(
+        "source_ip", f"{time_col} AS alert_time", "event_severity AS severity", "rule_id AS fired")
+    right = conns.where(f"coalesce(network_bytes, 0) >= {cfg.bytes}").selectExpr(
+        "source_ip", f"{time_col} AS flow_time", "destination_ip AS peer", "destination_port AS port",
+        "network_bytes AS bytes", "zeek_conn_uid AS uid")
     found = interval_join(left, right, "source_ip", "alert_time", "flow_time", upper=cfg.window, salt=cfg.salt)
-    source = F.col("source_ip")
     return to_alert(
         found, CORRELATION_RULE, producer,
         event_timestamp=iso("flow_time"),
-        event_severity=F.when((severity <= 1) & (total >= 2 * cfg.bytes), 1).otherwise(2),
-        source_ip=source,
-        destination_ip=F.col("peer"),
-        destination_port=F.col("port"),
-        network_bytes=F.col("bytes"),
-        alert_reason=F.lit("Critical Snort alert was followed by unusual Zeek traffic from the same source IP."),
-        alert_evidence=sentence(
-            "snort_rule_id=", F.coalesce("fired", F.lit("unknown")),
-            ", snort_severity=", F.coalesce(severity, F.lit(-1)),
-            ", zeek_uid=", F.coalesce("uid", F.lit("unknown")), ", zeek_bytes=", total),
-        alert_count=F.lit(2),
-        alert_rule_ids=F.col("fired"),
+        event_severity=f"if(severity <= 1 AND coalesce(bytes, 0) >= {2 * cfg.bytes}, 1, 2)",
+        source_ip="source_ip",
+        destination_ip="peer",
+        destination_port="port",
+        network_bytes="bytes",
+        alert_reason="'Critical Snort alert was followed by unusual Zeek traffic from the same source IP.'",
+        alert_evidence=say(
+            "snort_rule_id={coalesce(fired, 'unknown')}, snort_severity={severity}, zeek_uid={coalesce(uid, 'unknown')}, "
+            "zeek_bytes={coalesce(bytes, 0)}"),
+        alert_count="2",
+        alert_rule_ids="fired",
         window_start=iso("alert_time"),
         window_end=iso("flow_time"),
-        related_ip=F.array("source_ip", "peer"),
-        message=sentence("Snort-to-Zeek correlation for ", source),
-        zeek_volume_direction=F.lit("source"),
-        zeek_volume_total_bytes=F.col("bytes"),
-        zeek_connection_count=F.lit(1),
-        correlation_type=F.lit("snort-followed-by-high-bytes"))
+        related_ip="array(source_ip, peer)",
+        message=say("Snort-to-Zeek correlation for {source_ip}"),
+        zeek_volume_direction="'source'",
+        zeek_volume_total_bytes="bytes",
+        zeek_connection_count="1",
+        correlation_type="'snort-followed-by-high-bytes'")
 
 
-def _anomaly_checks(cfg: ProtocolAnomaly) -> list[tuple[Column, str, int, str]]:
+def _anomaly_checks(cfg: ProtocolAnomaly) -> list[tuple[str, str, int, str]]:
     """(condition, type, severity, reason), first match wins. A NULL port or protocol satisfies no port check."""
-    protocol, port = F.col("network_protocol"), F.col("destination_port")
+    http = ", ".join(map(str, cfg.http_ports))
+    dns = ", ".join(map(str, cfg.dns_ports))
     return [
-        (protocol.isNull() & (or_zero("network_bytes") >= cfg.unknown_bytes), "unknown_service_high_bytes", 2,
-         "Unknown or null service carried unusually high bytes."),
-        ((protocol == "http") & ~port.isin(*cfg.http_ports), "http_unexpected_port", 3,
+        (f"network_protocol IS NULL AND coalesce(network_bytes, 0) >= {cfg.unknown_bytes}", "unknown_service_high_bytes",
+         2, "Unknown or null service carried unusually high bytes."),
+        (f"network_protocol = 'http' AND NOT destination_port IN ({http})", "http_unexpected_port", 3,
          "HTTP-like traffic appeared on an uncommon destination port."),
-        ((protocol == "dns") & ~port.isin(*cfg.dns_ports), "dns_unexpected_port", 3,
+        (f"network_protocol = 'dns' AND NOT destination_port IN ({dns})", "dns_unexpected_port", 3,
          "DNS-like traffic appeared on an uncommon destination port."),
-        ((protocol == "ssh") & (port != cfg.ssh_port), "ssh_unexpected_port", 3,
+        (f"network_protocol = 'ssh' AND destination_port != {cfg.ssh_port}", "ssh_unexpected_port", 3,
          "SSH-like traffic appeared on a non-standard destination port."),
-        ((protocol == "http") & (F.col("network_transport") == "udp"), "http_over_udp", 3,
+        ("network_protocol = 'http' AND network_transport = 'udp'", "http_over_udp", 3,
          "HTTP service was paired with UDP transport."),
     ]
 
@@ -330,34 +318,31 @@ def detect_protocol_anomaly(
     producer: str = PRODUCER,
 ) -> DataFrame:
     """Single connections whose service, port, transport or volume do not fit together. Stateless."""
-    verdict = F.coalesce(*[
-        F.when(condition, F.struct(F.lit(kind).alias("kind"), F.lit(severity).alias("severity"),
-                                   F.lit(reason).alias("reason")))
-        for condition, kind, severity, reason in _anomaly_checks(cfg)])
-    found = conns.withColumn("verdict", verdict).where(F.col("verdict").isNotNull())
-    null = F.lit("null")
+    verdicts = ", ".join(
+        f"if({condition}, struct('{kind}' AS kind, {severity} AS severity, '{reason}' AS reason), NULL)"
+        for condition, kind, severity, reason in _anomaly_checks(cfg))
+    found = conns.withColumn("verdict", F.expr(f"coalesce({verdicts})")).where("verdict IS NOT NULL")
     return to_alert(
         found, ANOMALY_RULE, producer,
         event_timestamp=iso(time_col),
-        event_severity=F.col("verdict.severity"),
-        source_ip=F.col("source_ip"),
-        destination_ip=F.col("destination_ip"),
-        destination_port=F.col("destination_port"),
-        network_bytes=F.col("network_bytes"),
-        alert_reason=F.col("verdict.reason"),
-        alert_evidence=sentence(
-            "service=", F.coalesce("network_protocol", null), ", transport=", F.coalesce("network_transport", null),
-            ", destination_port=", F.coalesce("destination_port", F.lit(-1)),
-            ", network_bytes=", or_zero("network_bytes")),
-        alert_count=F.lit(1),
+        event_severity="verdict.severity",
+        source_ip="source_ip",
+        destination_ip="destination_ip",
+        destination_port="destination_port",
+        network_bytes="network_bytes",
+        alert_reason="verdict.reason",
+        alert_evidence=say(
+            "service={coalesce(network_protocol, 'null')}, transport={coalesce(network_transport, 'null')}, "
+            "destination_port={coalesce(destination_port, -1)}, network_bytes={coalesce(network_bytes, 0)}"),
+        alert_count="1",
         window_start=iso(time_col),
         window_end=iso(time_col),
-        related_ip=F.col("related_ip"),
-        message=sentence("Protocol anomaly from ", F.col("source_ip")),
-        zeek_volume_direction=F.lit("source"),
-        zeek_volume_total_bytes=F.col("network_bytes"),
-        zeek_connection_count=F.lit(1),
-        correlation_type=F.col("verdict.kind"))
+        related_ip="related_ip",
+        message=say("Protocol anomaly from {source_ip}"),
+        zeek_volume_direction="'source'",
+        zeek_volume_total_bytes="network_bytes",
+        zeek_connection_count="1",
+        correlation_type="verdict.kind")
 
 
 @dataclass(frozen=True)
@@ -372,16 +357,26 @@ class RuleSet:
     protocol_anomaly: ProtocolAnomaly = ProtocolAnomaly()
 
 
+RULE_NAMES = ("port_scan", "top_talkers", "exfiltration", "alert_burst", "correlation", "protocol_anomaly")
+
+
+def run_rule(name: str, conns: DataFrame, ids: DataFrame, rules: RuleSet = RuleSet(), **kw: str) -> DataFrame:
+    """Alerts of one rule, by name."""
+    cfg = getattr(rules, name)
+    if name == "alert_burst":
+        return detect_alert_burst(ids, cfg, **kw)
+    if name == "correlation":
+        return detect_correlation(ids, conns, cfg, **kw)
+    on_conns = {
+        "port_scan": detect_port_scan, "top_talkers": detect_top_talkers, "exfiltration": detect_exfiltration,
+        "protocol_anomaly": detect_protocol_anomaly,
+    }
+    return on_conns[name](conns, cfg, **kw)
+
+
 def rule_outputs(conns: DataFrame, ids: DataFrame, rules: RuleSet = RuleSet(), **kw: str) -> dict[str, DataFrame]:
     """Alerts of every rule by name, not yet combined (a stream runs one query per rule)."""
-    return {
-        "port_scan": detect_port_scan(conns, rules.port_scan, **kw),
-        "top_talkers": detect_top_talkers(conns, rules.top_talkers, **kw),
-        "exfiltration": detect_exfiltration(conns, rules.exfiltration, **kw),
-        "alert_burst": detect_alert_burst(ids, rules.alert_burst, **kw),
-        "correlation": detect_correlation(ids, conns, rules.correlation, **kw),
-        "protocol_anomaly": detect_protocol_anomaly(conns, rules.protocol_anomaly, **kw),
-    }
+    return {name: run_rule(name, conns, ids, rules, **kw) for name in RULE_NAMES}
 
 
 def all_alerts(conns: DataFrame, ids: DataFrame, rules: RuleSet = RuleSet(), **kw: str) -> DataFrame:

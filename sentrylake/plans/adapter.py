@@ -83,19 +83,7 @@ def _base_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
-def _ids_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "event_severity": (F.lit(1) + F.col("k") % 3).cast("int"),
-        "rule_id": F.concat(F.lit("1:"), F.col("k").cast("string"), F.lit(":1")),
-    })
-
-
-def _conn_labels(df: DataFrame) -> DataFrame:
-    return df.withColumns({"event_kind": F.lit("event"), "event_module": F.lit("zeek"), "event_dataset": F.lit("zeek.conn")})
-
-
-def _ids_labels(df: DataFrame) -> DataFrame:
-    return df.withColumns({"event_kind": F.lit("alert"), "event_module": F.lit("snort"), "event_dataset": F.lit("snort.alert")})
+_SEVERITY, _RULE = "CAST(1 + k % 3 AS INT)", "concat('1:', k, ':1')"
 
 
 def _timed(df: DataFrame, delay: str | None) -> DataFrame:
@@ -104,13 +92,19 @@ def _timed(df: DataFrame, delay: str | None) -> DataFrame:
     return df.withColumn("event_time", F.col("event_timestamp"))
 
 
+def _connections(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr("*", "'event' AS event_kind", "'zeek' AS event_module", "'zeek.conn' AS event_dataset")
+
+
 def _errors(rows: DataFrame) -> DataFrame:
-    return _ids_labels(_ids_columns(rows.where(F.col("kind") == "error")))
+    return rows.where("kind = 'error'").selectExpr(
+        "*", f"{_SEVERITY} AS event_severity", f"{_RULE} AS rule_id", "'alert' AS event_kind", "'snort' AS event_module",
+        "'snort.alert' AS event_dataset")
 
 
 def conns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a connection."""
-    return _timed(_conn_labels(_base(spark, sf_dir)), None)
+    return _timed(_connections(_base(spark, sf_dir)), None)
 
 
 def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +113,7 @@ def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conn_stream(spark: SparkSession, sf_dir: str, delay: str = "30 seconds") -> DataFrame:
-    return _timed(_conn_labels(_base_stream(spark, sf_dir)), delay)
+    return _timed(_connections(_base_stream(spark, sf_dir)), delay)
 
 
 def ids_stream(spark: SparkSession, sf_dir: str, delay: str = "30 seconds") -> DataFrame:
@@ -128,25 +122,20 @@ def ids_stream(spark: SparkSession, sf_dir: str, delay: str = "30 seconds") -> D
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event once: error events as intrusion alerts, the others as connections, tagged as one run."""
-    base = _ids_columns(_base(spark, sf_dir))
-    error = F.col("kind") == "error"
-    return base.withColumns({
-        "event_kind": F.when(error, "alert").otherwise("event"),
-        "event_module": F.when(error, "snort").otherwise("zeek"),
-        "event_dataset": F.when(error, "snort.alert").otherwise("zeek.conn"),
-        "event_severity": F.when(error, F.col("event_severity")),
-        "rule_id": F.when(error, F.col("rule_id")),
-        "rule_name": F.when(error, F.concat(F.lit("rule "), F.col("k").cast("string"))),
-        "rule_category": F.when(error, F.lit("misc")),
-        "benchmark_id": F.lit(RUN_ID), "benchmark_size": F.lit("small"), "benchmark_cycle": F.lit(0),
-        "benchmark_seq": F.col("event_id") + 1,
-    })
+    return _base(spark, sf_dir).selectExpr(
+        "*",
+        "if(kind = 'error', 'alert', 'event') AS event_kind", "if(kind = 'error', 'snort', 'zeek') AS event_module",
+        "if(kind = 'error', 'snort.alert', 'zeek.conn') AS event_dataset",
+        f"if(kind = 'error', {_SEVERITY}, NULL) AS event_severity", f"if(kind = 'error', {_RULE}, NULL) AS rule_id",
+        "if(kind = 'error', concat('rule ', k), NULL) AS rule_name", "if(kind = 'error', 'misc', NULL) AS rule_category",
+        f"'{RUN_ID}' AS benchmark_id", "'small' AS benchmark_size", "0 AS benchmark_cycle",
+        "event_id + 1 AS benchmark_seq")
 
 
 def flat_arrays(df: DataFrame) -> DataFrame:
     """Arrays as comma lists, so that results compare column by column."""
-    return df.select([
-        F.array_join(f.name, ",").alias(f.name) if f.dataType.typeName() == "array" else F.col(f.name) for f in df.schema])
+    return df.selectExpr(*[
+        f"array_join({f.name}, ',') AS {f.name}" if f.dataType.typeName() == "array" else f.name for f in df.schema])
 
 
 def iso_text(df: DataFrame, *columns: str) -> DataFrame:

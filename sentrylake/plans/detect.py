@@ -30,16 +30,16 @@ DELAY_SECONDS = 30
 
 def _batch(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return a.flat_arrays(d.rule_outputs(a.conns(spark, sf_dir), a.ids(spark, sf_dir), RULES)[name])
+        return a.flat_arrays(d.run_rule(name, a.conns(spark, sf_dir), a.ids(spark, sf_dir), RULES))
     return run
 
 
 def _stream(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         delay = f"{DELAY_SECONDS} seconds"
-        outputs = d.rule_outputs(a.conn_stream(spark, sf_dir, delay), a.ids_stream(spark, sf_dir, delay), RULES)
+        alerts = d.run_rule(name, a.conn_stream(spark, sf_dir, delay), a.ids_stream(spark, sf_dir, delay), RULES)
         folder = shared_dir(spark, f"stream-{name}")
-        return a.flat_arrays(drain(outputs[name], f"{folder}/out", f"{folder}/checkpoint"))
+        return a.flat_arrays(drain(alerts, f"{folder}/out", f"{folder}/checkpoint"))
     return run
 
 
