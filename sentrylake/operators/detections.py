@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from sentrylake.functions.alerts import PRODUCER, RuleMeta, escalate, iso, say, to_alert
 from sentrylake.functions.net import INTERNAL_PATTERNS, is_internal
 from sentrylake.operators.joins import interval_join
+from sentrylake.operators.windows import by_pane
 
 # Rule names, categories and the default thresholds.
 PORT_SCAN_RULE = RuleMeta("zeek.port_scan", "reconnaissance", ("network",), ("indicator", "connection"))
@@ -41,6 +42,7 @@ class PortScan:
     ports: int = 5
     ips: int = 3
     exact: bool = True
+    panes: bool = True  # sum per pane first; turn off for sparse traffic that repeats little within a slide
 
 
 @dataclass(frozen=True)
@@ -57,6 +59,7 @@ class Exfiltration:
     bytes: int = 4_000_000
     flows: int = 3
     internal: tuple[str, ...] = INTERNAL_PATTERNS
+    panes: bool = True
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,7 @@ class AlertBurst:
     slide: str = "1 minute"
     severity_max: int = 2
     count: int = 3
+    panes: bool = True
 
 
 @dataclass(frozen=True)
@@ -114,13 +118,16 @@ def port_scan_counts(conns: DataFrame, cfg: PortScan = PortScan(), time_col: str
             F.approx_count_distinct("destination_port").alias("ports"),
             F.approx_count_distinct("destination_ip").alias("ips"),
             sum0("network_bytes").alias("bytes"))
+    flows = by_pane(
+        conns, time_col, cfg.window, cfg.slide, ["source_ip", "destination_ip", "destination_port"],
+        {"n": F.lit(1), "b": or_zero("network_bytes")}, panes=cfg.panes)
     contacts = F.array(
         F.struct(F.lit(True).alias("is_ip"), F.col("destination_ip").alias("peer")),
         F.struct(F.lit(False).alias("is_ip"), F.col("destination_port").cast("string").alias("peer")))
     per_peer = (
-        conns.select(time_col, "source_ip", "network_bytes", F.explode(contacts).alias("contact"))
+        flows.select(time_col, "source_ip", "n", "b", F.explode(contacts).alias("contact"))
         .groupBy(window, "source_ip", F.col("contact.is_ip").alias("is_ip"), F.col("contact.peer").alias("peer"))
-        .agg(F.count("*").alias("n"), sum0("network_bytes").alias("b")))
+        .agg(F.sum("n").alias("n"), F.sum("b").alias("b")))
     # Every flow is in exactly one address row, so the address rows alone carry the totals.
     return per_peer.groupBy("window", "source_ip").agg(
         F.sum(F.when(F.col("is_ip"), F.col("n"))).alias("flows"),
@@ -194,8 +201,11 @@ def detect_exfiltration(
     scoped = _scope(
         conns.select(time_col, "source_ip", "destination_ip", *measures), outbound,
         ["source_ip", "destination_ip", *measures])
-    per_pair = scoped.groupBy(F.window(time_col, cfg.window, cfg.slide), "source_ip", "destination_ip").agg(
-        F.count_if("_hit").alias("flows"), *[sum0(m).alias(m) for m in measures])
+    flows = by_pane(
+        scoped, time_col, cfg.window, cfg.slide, ["source_ip", "destination_ip"],
+        {"flows": F.col("_hit").cast("int"), **{m: or_zero(m) for m in measures}}, panes=cfg.panes)
+    per_pair = flows.groupBy(F.window(time_col, cfg.window, cfg.slide), "source_ip", "destination_ip").agg(
+        *[F.sum(m).alias(m) for m in ["flows", *measures]])
     per_source = per_pair.groupBy("window", "source_ip").agg(
         F.sum("flows").alias("flows"),
         F.count("destination_ip").alias("peers"),
@@ -237,8 +247,11 @@ def detect_alert_burst(
     keys = ["source_ip", "destination_ip", "rule_id"]
     scoped = _scope(ids.select(time_col, "event_severity", *keys), severe, keys)
     # One row per rule id first: the list below is then as long as the rule set, not as the alert volume.
-    per_rule = scoped.groupBy(F.window(time_col, cfg.window, cfg.slide), "source_ip", "rule_id").agg(
-        F.count_if("_hit").alias("n"), F.min("destination_ip").alias("sample"))
+    fired = by_pane(
+        scoped, time_col, cfg.window, cfg.slide, ["source_ip", "rule_id"], {"n": F.col("_hit").cast("int")},
+        {"sample": F.col("destination_ip")}, panes=cfg.panes)
+    per_rule = fired.groupBy(F.window(time_col, cfg.window, cfg.slide), "source_ip", "rule_id").agg(
+        F.sum("n").alias("n"), F.min("sample").alias("sample"))
     per_source = per_rule.groupBy("window", "source_ip").agg(
         F.sum("n").alias("alerts"),
         F.min("sample").alias("sample"),

@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "sentrylake-tests", "local[4]", **{
             "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
-            "spark.sql.streaming.noDataMicroBatches.enabled": "true",
+            "spark.sql.maxMetadataStringLength": "10000", "spark.sql.maxPlanStringLength": "1000000",
         })
     session.sparkContext.setLogLevel("ERROR")
     yield session
