@@ -109,9 +109,14 @@ def has_fuzzy_term(column: str, query: str) -> Column:
     terms = list(dict.fromkeys(terms_of(query)))
     if not terms:
         return F.lit(False)
-    first = "".join(sorted({t[0] for t in terms}))
-    cheap = combined([column]).rlike(f"{_START}[{re.escape(first)}]")
-    return cheap & F.exists(tokens(column), lambda t: reduce(or_, [_fuzzy_token(t, q) for q in terms]))
+    return F.exists(_tokens_from(column, {t[0] for t in terms}), lambda t: reduce(or_, [_fuzzy_token(t, q) for q in terms]))
+
+
+def _tokens_from(column: str, first: set[str]) -> Column:
+    """Only the tokens that begin with one of the characters; the character is tested before its surroundings."""
+    head = f"[{re.escape(''.join(sorted(first)))}]"
+    pattern = rf"{head}(?<!{_WORD}.)(?<!{_WORD}[.'].){_WORD}*(?:[.']{_WORD}+)*"
+    return F.regexp_extract_all(F.lower(column), F.lit(pattern), F.lit(0))
 
 
 def trigrams(column: Column) -> Column:
