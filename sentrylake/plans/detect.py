@@ -56,7 +56,7 @@ def _interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Alert keys that are stable across engines: rule, source and window.
-    alerts = all_alerts(spark, sf_dir).where(F.col("rule_name") == d.PORT_SCAN_RULE.name)
+    alerts = d.detect_port_scan(a.conns(spark, sf_dir), RULES.port_scan)
     found = evidence_for(
         alerts, a.conns(spark, sf_dir), bin_width="6 hours", alert_cols=("window_start", "source_ip"),
         event_cols=("event_id", "network_bytes"))

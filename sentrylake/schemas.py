@@ -6,7 +6,7 @@ with underscores (``source.ip`` -> ``source_ip``) so that expressions need no qu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,26 +89,21 @@ ALERT_SCHEMA = flat_schema(ALERT_FIELDS)
 LAKE_SCHEMA = _lake_schema()
 
 
-def quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def to_flat(df: DataFrame) -> DataFrame:
     """Dotted field names -> underscore column names."""
-    return df.select([quoted(c).alias(flat_name(c)) for c in df.columns])
+    return df.selectExpr(*[f"`{c}` AS {flat_name(c)}" for c in df.columns])
 
 
 def to_dotted(df: DataFrame) -> DataFrame:
     """Underscore column names -> dotted field names, as documents carry them."""
-    return df.select([quoted(c).alias(DOTTED.get(c, c)) for c in df.columns])
+    return df.selectExpr(*[f"`{c}` AS `{DOTTED.get(c, c)}`" for c in df.columns])
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to ``schema``: cast what exists, pad what is missing with a typed NULL."""
     have = set(df.columns)
-    return df.select([
-        (quoted(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
-    ])
+    return df.selectExpr(*[
+        f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema])
 
 
 def with_event_date(df: DataFrame, time_col: str = "event_timestamp") -> DataFrame:

@@ -19,7 +19,8 @@ PROMOTED = (
 def document(df: DataFrame) -> Column:
     """The whole row as a JSON document with dotted field names in name order."""
     names = sorted(df.columns, key=lambda c: DOTTED.get(c, c))
-    return F.to_json(F.struct(*[F.col(c).alias(DOTTED.get(c, c)) for c in names]))
+    fields = ", ".join(f"`{c}` AS `{DOTTED.get(c, c)}`" for c in names)
+    return F.expr(f"to_json(struct({fields}))")
 
 
 def conn_key() -> Column:
