@@ -207,3 +207,29 @@ def test_one_source_with_a_third_of_the_rows(spark):
         assert sorted((x.alert_count, x.zeek_scan_unique_destination_ports, x.zeek_scan_unique_destination_ips) for x in hot.collect()) \
             == sorted((x.n, x.p, x.i) for x in wanted.collect())
     assert TopTalkers().flows == 3
+
+
+@pytest.mark.parametrize("dialect", ["search", "sql"])
+def test_suites(spark, dialect):
+    from sentrylake.operators.suites import SuiteParams, baseline_suite, showcase_suite
+    from sentrylake.sinks.documents import to_serving
+
+    flat = batch(spark, CONNS, CONN_SCHEMA).drop("event_time").withColumns({
+        "event_id": F.col("zeek_conn_uid"), "benchmark_id": F.lit("r"), "event_severity": F.lit(2), "rule_id": F.lit("x")})
+    p = SuiteParams("r", "2012-03-16 12:40:00", "2012-03-16 12:41:00", "2012-03-16 12:50:00", "zeek.conn", "192.168.10.10",
+                    "198.51.100.20", "tcp connection 198.51.100.20")
+    for events in (flat, to_serving(flat)):
+        base, show = baseline_suite(events, events, p), showcase_suite(events, p, dialect)
+        assert (len(base), len(show)) == (10, 7)
+        assert {n: q().count() for n, q in base.items()} == {
+            "time_range_search": 6, "filter_by_dataset": 1, "filter_by_source_ip": 1, "filter_by_destination_ip": 1,
+            "alerts_by_severity": 1, "alerts_by_rule": 1, "top_source_ip_by_event_count": 5,
+            "top_destination_ip_by_event_count": 10, "top_talkers_by_network_bytes": 5, "message_search": 2}
+        found = {n: q().count() for n, q in show.items()}
+        assert found["multi_field_latest_hits"] == 2 and found["search_facet_top_destination_ports"] == 2
+        assert found["search_timeline_histogram"] == 1 and found["ip_pivot_latest_hits"] == 5
+        # Every text has the token ``tcp``; none starts with ``tcp connection 198``, as the sources are 192.168...
+        assert found["autocomplete_latest_hits"] == (13 if dialect == "search" else 0)
+        assert found["fuzzy_latest_hits"] >= 2
+    other = SuiteParams("else", p.start, p.mid, p.end, p.dataset, p.source_ip, p.destination_ip)
+    assert baseline_suite(flat, flat, other)["message_search"]().isEmpty()
