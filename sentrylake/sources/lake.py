@@ -13,8 +13,9 @@ def _is_path(table: str) -> bool:
 
 
 def read_lake(spark: SparkSession, table: str) -> DataFrame:
-    """Lake rows from a Parquet folder (a path) or from a catalog table (a name)."""
-    return spark.read.schema(LAKE_SCHEMA).parquet(table) if _is_path(table) else spark.table(table)
+    """Lake rows from a Parquet folder (a path) or from a catalog table (a name), in declared column order."""
+    rows = spark.read.schema(LAKE_SCHEMA).parquet(table) if _is_path(table) else spark.table(table)
+    return rows.select(*LAKE_SCHEMA.names)
 
 
 def lake_files(spark: SparkSession, table: str) -> DataFrame:
