@@ -5,16 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sentrylake.llm import simhash
+from sentrylake.llm import mixing, secrets, simhash
 from sentrylake.llm.common import table
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("secrets.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secrets.spans_text(F.col("secrets.base")), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("secrets.spans")).alias("spans"))
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scans": op1_secret_scans,
+    "op4_mix_sources": op4_mix_sources,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
