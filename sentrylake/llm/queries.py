@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.llm import mixing, packing, secrets, simhash, toxicity
+from sentrylake.llm import forest, mixing, packing, secrets, simhash, toxicity, vector_dedup
 from sentrylake.llm.common import table
 
 
@@ -37,10 +37,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,7 +58,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op4_mix_sources": op4_mix_sources,
     "op3_toxicity": op3_toxicity,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
