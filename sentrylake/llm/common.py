@@ -42,25 +42,25 @@ def fold(id_column: str, parts: int, remainder: int) -> Column:
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str, limit: int) -> Iterator[pa.Table]:
-    """Joins sorted batches into tables of at least ``limit`` rows that never split a key; the last may be smaller."""
-    held: list[pa.Table] = []
-    rows = 0
+    """Deals sorted batches out as tables that never split a key, of ``limit`` rows or fewer where no key has more."""
+    held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        held.append(pa.Table.from_batches([batch]))
-        rows += batch.num_rows
-        if rows < limit:
-            continue
-        whole = pa.concat_tables(held)
-        keys = whole.column(key).to_numpy()
-        end = int(np.searchsorted(keys, keys[-1]))
-        if end:
-            yield whole.slice(0, end)
-            whole = whole.slice(end)
-        held, rows = [whole], whole.num_rows
-    if held:
-        yield pa.concat_tables(held)
+        new = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, new]) if held is not None else new
+        keys = held.column(key).to_numpy()
+        # The last key may go on in the next batch.
+        start, end = 0, int(np.searchsorted(keys, keys[-1]))
+        while end - start >= limit:
+            stop = int(np.searchsorted(keys, keys[start + limit])) if start + limit < end else end
+            if stop <= start:
+                stop = int(np.searchsorted(keys, keys[start], side="right"))
+            yield held.slice(start, stop - start)
+            start = stop
+        held = held.slice(start)
+    if held is not None and held.num_rows:
+        yield held
 
 
 def group_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:

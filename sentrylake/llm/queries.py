@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.llm import forest, mixing, packing, secrets, simhash, toxicity, vector_dedup
+from sentrylake.llm import forest, mixing, packing, repeats, secrets, simhash, toxicity, vector_dedup
 from sentrylake.llm.common import table
 
 
@@ -49,6 +49,11 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
