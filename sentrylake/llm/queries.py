@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.llm import forest, mixing, packing, repeats, secrets, simhash, toxicity, vector_dedup
-from sentrylake.llm.common import table
+from sentrylake.llm import forest, lm_scoring, mixing, packing, repeats, secrets, simhash, toxicity, vector_dedup
+from sentrylake.llm.common import fold, table
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 5, 1))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.held_out()
@@ -61,8 +65,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Each operator's query, by number.
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
-    "op4_mix_sources": op4_mix_sources,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_toxicity": op3_toxicity,
+    "op4_mix_sources": op4_mix_sources,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
