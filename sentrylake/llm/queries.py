@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.llm import forest, lm_scoring, mixing, packing, repeats, secrets, simhash, toxicity, vector_dedup
+from sentrylake.llm import forest, licenses, lm_scoring, mixing, packing, repeats, secrets, simhash, toxicity, vector_dedup
 from sentrylake.llm.common import fold, table
 
 
@@ -45,6 +45,10 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_license_scans": op6_license_scans,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
