@@ -34,7 +34,7 @@ class Pieces:
     asked for while one filled is forgotten. A longer run of white space is never cut.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 120_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -86,7 +86,7 @@ def _joined(parts: list[str]) -> list[str]:
     return out
 
 
-def _in_runs(pieces: Pieces, texts: list[str], characters: int = 4_000_000) -> Iterator[bytes]:
+def _in_runs(pieces: Pieces, texts: list[str], characters: int = 1_000_000) -> Iterator[bytes]:
     """Ids of each text, taken together in runs of about so many characters."""
     run, size = [], 0
     for text in texts:
