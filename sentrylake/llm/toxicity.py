@@ -73,14 +73,14 @@ def lexicon_class(token: bytes, model: Model, words: dict[str, str]) -> tuple[in
 
 
 class Reader:
-    """Reads whole texts. What a token means is remembered for up to a million tokens at a time."""
+    """Reads whole texts. What a token means is remembered for up to 250,000 tokens at a time."""
 
     def __init__(self, model: Model):
         self.model, self.known = model, {}
         self.words = {word: kind for kind, words in LISTS.items() for word in words.split()}
 
     def _meaning(self, token: bytes) -> tuple[int, float, bool] | None:
-        if len(self.known) > 1_000_000:
+        if len(self.known) > 250_000:
             self.known.clear()
         self.known[token] = found = lexicon_class(token, self.model, self.words)
         return found
