@@ -1,8 +1,8 @@
 """Text-search predicates built from Spark's own string and array expressions.
 
 A token is a run of letters, digits and underscores; a dot or apostrophe between two such runs stays inside the token,
-so an IP address is one token while its port is another. Matching ignores case. Every predicate first asks a cheap
-substring question and looks at tokens only in rows that pass it.
+so an IP address is one token while its port is another. Matching ignores case. Every predicate on tokens first asks a
+cheap question about substrings and looks at tokens only in rows that pass it.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def _swap_matches(token: Column, term: str, edits: int) -> list[Column]:
         if edits == 1:
             out.append(token == head + pair + tail)
             continue
-        rest = F.substring(token, i + 3, 1_000)
+        rest = token.substr(F.lit(i + 3), F.length(token))
         before = F.left(token, F.length(token) - len(pair + tail))
         out.append(token.startswith(head + pair) & F.levenshtein(rest, F.lit(tail), 1).between(0, 1))
         out.append(token.endswith(pair + tail) & F.levenshtein(before, F.lit(head), 1).between(0, 1))
@@ -109,7 +109,20 @@ def has_fuzzy_term(column: str, query: str) -> Column:
     terms = list(dict.fromkeys(terms_of(query)))
     if not terms:
         return F.lit(False)
-    return F.exists(_tokens_from(column, {t[0] for t in terms}), lambda t: reduce(or_, [_fuzzy_token(t, q) for q in terms]))
+    # A close token shares a piece of its term: of pieces cut two more than the edits allow, one stays whole (a swap can
+    # harm two neighbouring pieces, and counts as one edit).
+    body = F.lower(column)
+    cheap = reduce(or_, [reduce(or_, [body.contains(piece) for piece in _pieces(q)]) for q in terms])
+    return cheap & F.exists(_tokens_from(column, {t[0] for t in terms}), lambda t: reduce(or_, [_fuzzy_token(t, q) for q in terms]))
+
+
+def _pieces(term: str) -> list[str]:
+    """Pieces of the term of which at least one is left in every token within its edits; its first letter if too short."""
+    parts = 2 * allowed_edits(term) + 1
+    if len(term) < parts:
+        return [term[0]]
+    cuts = [len(term) * i // parts for i in range(parts + 1)]
+    return [term[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def _tokens_from(column: str, first: set[str]) -> Column:
@@ -134,28 +147,35 @@ def query_trigrams(query: str) -> list[str]:
     return sorted({p[i:i + 3] for p in padded for i in range(len(p) - 2)})
 
 
-def trigram_similarity(column: str, query: str) -> Column:
-    """Shared over all distinct trigrams of text and query, from 0 to 1."""
+def shared_trigrams(own: Column, query: str) -> Column:
+    """Shared over all distinct trigrams of a text (``own``, from :func:`trigrams`) and the query, from 0 to 1."""
     wanted = query_trigrams(query)
-    own = trigrams(F.lower(column))
     shared = F.size(F.array_intersect(own, F.array(*[F.lit(t) for t in wanted])))
     return shared / (F.size(own) + F.lit(len(wanted)) - shared)
 
 
+def trigram_similarity(column: str, query: str) -> Column:
+    """Trigram similarity of a text column and a query."""
+    return shared_trigrams(trigrams(F.lower(column)), query)
+
+
+def may_share_trigram(column: str, query: str) -> Column:
+    """False only where no trigram of the query can occur: none of its blank-free parts is in the text."""
+    parts = sorted({t.strip() for t in query_trigrams(query)})
+    body = F.lower(column)
+    return reduce(or_, [body.contains(p) for p in parts]) if parts else F.lit(False)
+
+
 def prefix_term(query: str) -> str:
-    """Shortened query for search-as-you-type: three characters of the last of three or more words, else one word."""
-    words = query.split()
-    if not words:
-        return query
-    if len(words) >= 3 and len(words[-1]) >= 3:
-        return " ".join([*words[:-1], words[-1][:3]])
-    return words[0]
+    """What a user has typed so far: of three or more words all, the last one down to three letters; else the first word.
+
+    A last word of one or two letters cannot be shortened and also leaves the first word; a blank query stays as it is.
+    """
+    typed = re.match(r"\s*(\S+(?:\s+\S+)+\s+\S{3})\S*\s*$", query) or re.search(r"(\S+)", query)
+    return re.sub(r"\s+", " ", typed[1]) if typed else query
 
 
 def fuzzy_term(query: str) -> str:
-    """The query with the last character of its last word missing, as a typing error."""
-    words = query.split()
-    if not words:
-        return query
-    last = words[-1]
-    return " ".join([*words[:-1], last[:-1] if len(last) > 1 else last])
+    """The query with a typing error: its last letter is missing, unless that is a whole word."""
+    tidy = " ".join(query.split())
+    return re.sub(r"(?<=\S)\S$", "", tidy) if tidy else query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.functions.timeutil import interval, micros
 from sentrylake.operators.detections import sum0
+from sentrylake.session import shared_dir
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "event_count") -> DataFrame:
@@ -54,9 +55,10 @@ def _all_buckets(counts: DataFrame, step: str) -> DataFrame:
         return ends.select(F.explode(F.sequence("lo", "hi", interval(step))).alias("bucket"))
     lo, hi = F.unix_micros("lo"), F.unix_micros("hi")
     first = (F.col("d") * day + (width - 1) - F.pmod(F.col("d") * day + (width - 1), F.lit(width)))
+    # The few rows of days are dealt out before each grows to its buckets.
     days = ends.where(lo.isNotNull()).select(
         lo.alias("lo"), hi.alias("hi"),
-        F.explode(F.sequence(F.floor(lo / day).cast("bigint"), F.floor(hi / day).cast("bigint"))).alias("d"))
+        F.explode(F.sequence(F.floor(lo / day).cast("bigint"), F.floor(hi / day).cast("bigint"))).alias("d")).repartition("d")
     # The buckets that start inside day d, clipped to the range; a step that does not divide the day still fits.
     inside = days.select(
         F.greatest(first, "lo").alias("a"), F.least((F.col("d") + 1) * day - 1, F.col("hi")).alias("b"))
@@ -91,12 +93,19 @@ def exact_percentiles(
     into buckets, the bucket totals show which bucket holds each wanted rank, and only those buckets are sorted. The
     sketch decides how even the buckets are, never the result.
     """
+    named = df.select(F.struct(*by).alias("g"), F.col(value).cast("double").alias("v"))
+    cuts = named.groupBy("g").agg(_cut_points("v", buckets).alias("cuts"))
+    found = _ranked(named, cuts, probs)
+    return found.select("g.*", *probs)
+
+
+def _ranked(named: DataFrame, cuts: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """(g, one column per entry of ``probs``) for rows (g, v), with each group's cut points: the second read of the rows."""
     # The keys travel as one struct, which also keeps a group whose key is NULL through the joins.
-    valued = df.where(F.col(value).isNotNull()).select(F.struct(*by).alias("g"), F.col(value).cast("double").alias("v"))
-    counted = valued.groupBy("g", "v").agg(F.count("*").alias("n"))
-    cuts = valued.groupBy("g").agg(_cut_points("v", buckets).alias("cuts")).withColumn("coarse", _coarse(F.col("cuts")))
-    tagged = counted.join(cuts, "g").select(
-        "g", "v", "n", bucket_of(F.col("v"), F.col("cuts"), F.col("coarse")).alias("bucket"))
+    points = cuts.select("g", "cuts", _coarse(F.col("cuts")).alias("coarse"))
+    tagged = named.where(F.col("v").isNotNull()).join(points, "g").select(
+        "g", "v", bucket_of(F.col("v"), F.col("cuts"), F.col("coarse")).alias("bucket"))
+    tagged = tagged.groupBy("g", "bucket", "v").agg(F.count("*").alias("n"))
 
     group = Window.partitionBy("g")  # at most ``buckets`` rows per group
     totals = tagged.groupBy("g", "bucket").agg(F.sum("n").alias("m")).select(
@@ -117,28 +126,31 @@ def exact_percentiles(
     picked = placed.groupBy("g").agg(
         F.max("total").alias("total"),
         *[c for name, s in spot.items() for c in (at(F.floor(s)).alias(f"{name}_lo"), at(F.ceil(s)).alias(f"{name}_hi"))])
-    return picked.select("g.*", *[
+    return picked.select("g", *[
         (F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (s - F.floor(s))).alias(name)
         for name, s in spot.items()])
 
 
 def latency_summary(samples: DataFrame, by: list[str], value: str = "sample_ms", digits: int = 3) -> DataFrame:
     """Latency statistics per group: samples, mean, 50th/95th/99th percentile, minimum, maximum."""
-    plain = samples.groupBy(*by).agg(
-        F.count(value).alias("iterations"), F.avg(value).alias("avg_ms"),
-        F.min(value).alias("min_ms"), F.max(value).alias("max_ms"))
-    ranks = exact_percentiles(samples, by, value, {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99})
-    both = plain.withColumn("_g", F.struct(*by)).join(ranks.select(F.struct(*by).alias("_g"), "p50_ms", "p95_ms", "p99_ms"), "_g")
+    # One read gives the plain figures and the cut points, a second the percentiles. A group without a value keeps its row.
+    named = samples.select(F.struct(*by).alias("g"), F.col(value).alias("x"), F.col(value).cast("double").alias("v"))
+    plain = named.groupBy("g").agg(
+        F.count("x").alias("iterations"), F.avg("x").alias("avg_ms"), F.min("x").alias("min_ms"), F.max("x").alias("max_ms"),
+        _cut_points("v", 64).alias("cuts"))
+    ranks = _ranked(named, plain, {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99})
+    both = plain.drop("cuts").join(ranks, "g", "left")
     stats = ["avg_ms", "p50_ms", "p95_ms", "p99_ms", "min_ms", "max_ms"]
-    return both.select(*by, "iterations", *[F.round(F.col(c).cast("double"), digits).alias(c) for c in stats])
+    return both.select("g.*", "iterations", *[F.round(F.col(c).cast("double"), digits).alias(c) for c in stats])
 
 
-def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int = 256) -> DataFrame:
+def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the order of a unique numeric column without sorting them in one task.
 
-    Cut points of the key (a fixed number of values) split the rows into buckets; the bucket totals give each bucket
-    its first number, and rows are numbered inside their bucket.
+    Cut points of the key split the rows into buckets, by default one for each million rows and 64 at least; the bucket
+    totals give each bucket its first number, and rows are numbered inside their bucket.
     """
+    buckets = buckets or max(64, df.count() // 1_000_000)
     cuts = sorted(set(df.approxQuantile(key, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))))
     points = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
     tagged = df.withColumn("_bucket", bucket_of(F.col(key).cast("double"), points, _coarse(points)))
@@ -151,6 +163,24 @@ def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int = 2
     return tagged.join(F.broadcast(starts), "_bucket").withColumn(name, F.col("_first") + place).drop("_bucket", "_first")
 
 
+def row_number_from_one(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
+    """Number the rows 1, 2, 3, ... in the order of any columns without sorting them in one task.
+
+    The rows are dealt out by range; each part's first number is the sum of the parts before it. Where the ranges end
+    depends on a sample, so the parts are written down once, to the shared folder.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_dir(spark, "numbered")
+    df.repartitionByRange(parts, *order_by).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("_part", before.alias("_before"))  # one row for each part
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order_by))
+    return dealt.join(F.broadcast(starts), "_part").withColumn(name, place + F.col("_before")).drop("_part", "_before")
+
+
 def corpus_summary(events: DataFrame, alert_every: int = 5, seq: str = "benchmark_seq") -> DataFrame:
     """One row about a corpus: counts, datasets, first/middle/last time, first known addresses in sequence order."""
     per_dataset = events.groupBy("event_dataset").agg(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentrylake.functions.net import related_ips
-from sentrylake.operators.aggregates import row_index
+from sentrylake.operators.aggregates import row_number_from_one
 from sentrylake.schemas import DOTTED
 
 # Corpus sizes as multiples of the base table, or as row targets.
@@ -19,29 +19,30 @@ LARGE_TRANSFER = 1_000_000
 
 
 def scale_out(
-    base: DataFrame, run_id: str, size: str = "small", target_rows: int | None = None, order_key: str = "event_id",
-    id_name: str = "event_id",
+    base: DataFrame, run_id: str, size: str = "small", target_rows: int | None = None,
+    order_by: tuple[str, ...] = ("event_timestamp",), id_name: str = "event_id",
 ) -> DataFrame:
     """Repeat a base table up to a row target, one minute later with each repetition.
 
-    Row ``i`` is base row ``i mod n`` moved by ``i div n`` minutes. ``order_key`` is a unique numeric column that fixes
-    the base order. The rows are spread evenly over the keys of the join, and Spark broadcasts the base table only if
-    its measured size allows it.
+    Row ``i`` is base row ``i mod n`` moved by ``i div n`` minutes; an event that has an id keeps it. The base rows are
+    numbered once, by ``order_by`` and then by their content (equal rows in any order), and each makes its own copies:
+    the target is never shuffled.
     """
+    content = F.xxhash64(*[F.col(c).cast("string") if base.schema[c].dataType.typeName() == "map" else F.col(c) for c in base.columns])
+    numbered = row_number_from_one(base.withColumn("_content", content), [*order_by, "_content"], "_at").drop("_content")
     n = base.count()
     if n == 0:
         raise ValueError("the base table is empty")
     target = target_rows or SIZE_TARGETS.get(size) or n * SIZE_MULTIPLES[size]
-    indexed = row_index(base, order_key, "_base")
-    copies = base.sparkSession.range(target).select(
-        (F.col("id") % n).alias("_base"), F.floor(F.col("id") / n).cast("int").alias("benchmark_cycle"),
-        (F.col("id") + 1).alias("benchmark_seq"))
-    grown = copies.join(indexed.drop(*({id_name} & set(base.columns))), "_base").drop("_base")
+    copies = F.floor((F.lit(target) - F.col("_at")) / n).cast("int")
+    grown = numbered.where(F.col("_at") <= target).withColumn("benchmark_cycle", F.explode(F.sequence(F.lit(0), copies)))
+    grown = grown.withColumn("benchmark_seq", F.col("benchmark_cycle") * F.lit(n).cast("bigint") + F.col("_at")).drop("_at")
+    made = F.concat(F.lit(f"{run_id}-event-"), F.col("benchmark_seq").cast("string"))
     return grown.withColumns({
         "event_timestamp": F.col("event_timestamp") + F.make_dt_interval(mins=F.col("benchmark_cycle")),
         "benchmark_id": F.lit(run_id),
         "benchmark_size": F.lit(size),
-        id_name: F.concat(F.lit(f"{run_id}-event-"), F.col("benchmark_seq").cast("string")),
+        id_name: F.coalesce(F.col(id_name).cast("string"), made) if id_name in base.columns else made,
     })
 
 
@@ -50,7 +51,10 @@ def multiplier(base_rows: int, target_rows: int) -> int:
 
 
 def _family() -> Column:
-    """(rule id, rule name, category, severity) by the kind of event; the first match counts."""
+    """(rule id, rule name, category, severity) by the kind of event; the first match counts.
+
+    Fixed values: the names of the families.
+    """
     def family(rule: str, name: str, category: str, severity: int) -> Column:
         return F.struct(F.lit(rule).alias("id"), F.lit(name).alias("name"), F.lit(category).alias("category"),
                         F.lit(severity).alias("severity"))
@@ -76,8 +80,9 @@ def _family() -> Column:
 def derive_alerts(events: DataFrame, every: int = 5, delay: str = "2 seconds", seq: str = "benchmark_seq") -> DataFrame:
     """Every k-th event as an alert two seconds later; a corpus shorter than k yields one alert from its first event."""
     every = max(1, every)
-    longest = events.agg(F.max(seq)).scalar()
-    chosen = events.where((F.col(seq) % every == 0) | ((F.col(seq) == 1) & (longest < every)))
+    # A corpus of ``every`` rows or more has a row with that number, which the search for one stops at.
+    short = events.where(F.col(seq) >= every).limit(1).isEmpty()
+    chosen = events.where(F.col(seq) == 1 if short else F.col(seq) % every == 0)
     record = F.to_json(F.struct(*[
         F.col(c).alias(d) for c, d in sorted(((c, DOTTED.get(c, c)) for c in events.columns), key=lambda p: p[1])]))
     at = F.col("event_timestamp") + F.expr(f"INTERVAL {delay}")
@@ -92,8 +97,8 @@ def derive_alerts(events: DataFrame, every: int = 5, delay: str = "2 seconds", s
         f["name"].alias("rule_name"), f["category"].alias("rule_category"), "source_ip", "destination_ip",
         size.alias("network_bytes"),
         F.concat(F.lit("Benchmark-derived alert for "), dataset, F.lit(".")).alias("alert_reason"),
-        F.concat(F.lit("event_id="), F.col("event_id"), F.lit(" dataset="), F.col("event_dataset"), F.lit(" bytes="),
-                 size.cast("string")).alias("alert_evidence"),
+        F.concat(F.lit("event_id="), F.coalesce(F.col("event_id").cast("string"), F.lit("None")), F.lit(" dataset="),
+                 F.coalesce("event_dataset", F.lit("None")), F.lit(" bytes="), size.cast("string")).alias("alert_evidence"),
         F.lit(1).cast("bigint").alias("alert_count"), F.col("event_timestamp").alias("window_start"),
         at.alias("window_end"), related_ips("source_ip", "destination_ip").alias("related_ip"),
         F.lit("benchmark.synthetic").alias("pipeline"),

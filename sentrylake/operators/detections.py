@@ -273,14 +273,27 @@ def detect_alert_burst(
         correlation_type="'snort-burst'")
 
 
+def _counting(rows: DataFrame, condition: str, time_col: str) -> DataFrame:
+    """Rows that count for a join by ``source_ip``.
+
+    On a stream the condition and the key are written in terms of the event time: Spark moves a filter below the watermark
+    only if it does not look at that column. So all rows carry event time forward, and only those that count reach the join.
+    """
+    if not rows.isStreaming:
+        return rows.where(condition)
+    timed = F.col(time_col).isNotNull()
+    counted = rows.where(F.when(timed, F.expr(condition)).otherwise(F.lit(False)))
+    return counted.withColumn("source_ip", F.when(timed, F.col("source_ip")))
+
+
 def detect_correlation(
     ids: DataFrame, conns: DataFrame, cfg: Correlation = Correlation(), time_col: str = "event_time",
     producer: str = PRODUCER,
 ) -> DataFrame:
     """A severe alert followed by high-volume traffic of the same source within the window."""
-    left = ids.where(f"event_severity <= {cfg.severity_max}").selectExpr(
+    left = _counting(ids, f"event_severity <= {cfg.severity_max}", time_col).selectExpr(
         "source_ip", f"{time_col} AS alert_time", "event_severity AS severity", "rule_id AS fired")
-    right = conns.where(f"coalesce(network_bytes, 0) >= {cfg.bytes}").selectExpr(
+    right = _counting(conns, f"coalesce(network_bytes, 0) >= {cfg.bytes}", time_col).selectExpr(
         "source_ip", f"{time_col} AS flow_time", "destination_ip AS peer", "destination_port AS port",
         "network_bytes AS bytes", "zeek_conn_uid AS uid")
     found = interval_join(left, right, "source_ip", "alert_time", "flow_time", upper=cfg.window, salt=cfg.salt)

@@ -32,15 +32,18 @@ def interval_join(
     """Inner join: equal key and ``right_time`` within ``[left_time + lower, left_time + upper]``, both ends included.
 
     ``on`` names the key on both sides; the other columns of the two inputs must differ. Streams use Spark's own
-    stream-stream join, which derives state expiry from the time bound; both inputs then need a watermark. ``salt``
-    splits every bin of the right side further and repeats the left side as often: use it when the left side is small
-    and a single bin of a single key is still too large.
+    stream-stream join, which derives state expiry from the time bound; both inputs then need a watermark, and there are
+    no bins to set. ``salt`` splits the right side of a key (in batch: of each of its bins) further, on streams its state
+    as well, and repeats the left side as often: use it when the left side is small and a key is too large for a task.
     """
     between = F.col(right_time).between(
         F.col(left_time) + interval(lower), F.col(left_time) + interval(upper))
     if left.isStreaming or right.isStreaming:
-        keyed = right.withColumnRenamed(on, "_key")
-        return left.join(keyed, (F.col(on) == F.col("_key")) & between).drop("_key")
+        if bin_width:
+            raise ValueError("a stream join has no bins")
+        keyed = _salted(right, salt).withColumnsRenamed({on: "_key", "_salt": "_right_salt"})
+        met = (F.col(on) == F.col("_key")) & (F.col("_salt") == F.col("_right_salt")) & between
+        return _replicated(left, salt).join(keyed, met).drop("_key", "_salt", "_right_salt")
 
     width = micros(bin_width) if bin_width else max(micros(upper) - micros(lower), 1_000_000)
     first = time_bin(F.col(left_time), width, micros(lower))
@@ -91,20 +94,24 @@ def count_delta(
     before: DataFrame, after: DataFrame, by: list[str], min_delta: int = 1,
 ) -> DataFrame:
     """Rows per group before and after a run, and whether the growth reached ``min_delta``."""
-    old = before.groupBy(*by).agg(F.count("*").alias("before_count"))
-    new = after.groupBy(*by).agg(F.count("*").alias("after_count"))
-    zero = F.lit(0).cast("bigint")
-    joined = old.join(new, by, "full_outer").select(
-        *by, F.coalesce("before_count", zero).alias("before_count"), F.coalesce("after_count", zero).alias("after_count"))
+    both = before.select(*by, F.lit(False).alias("_after")).unionByName(after.select(*by, F.lit(True).alias("_after")))
+    counts = both.groupBy(*by).agg(F.count_if(~F.col("_after")).alias("before_count"), F.count_if("_after").alias("after_count"))
     delta: Column = F.col("after_count") - F.col("before_count")
-    return joined.withColumns({"delta": delta, "reached": delta >= min_delta})
+    return counts.withColumns({"delta": delta, "reached": delta >= min_delta})
 
 
 def alert_latency(
-    alerts: DataFrame, events: DataFrame, on: list[str], written_at: str = "written_at", ingested_at: str = "ingest_ts",
+    alerts: DataFrame, events: DataFrame, on: str, written_at: str = "written_at", ingested_at: str = "ingest_ts",
+    window: str = "5 minutes", bin_width: str | None = None, salt: int = 1,
 ) -> DataFrame:
-    """Milliseconds from an event's arrival to its alert becoming visible."""
-    arrivals = events.select(*on, F.col(ingested_at))
-    joined = alerts.select(*on, F.col(written_at)).join(arrivals, on)
-    spent = (F.unix_micros(written_at) - F.unix_micros(ingested_at)) / 1000
-    return joined.select(*on, spent.alias("latency_ms"))
+    """Milliseconds from an event's arrival to its alert becoming visible: one row for each alert that has one.
+
+    Counted is the last arrival for the alert's key that is not after the alert and at most ``window`` before it. Alerts
+    are told apart by all their columns. The key is spread over time bins and salts as in :func:`interval_join`.
+    """
+    columns = alerts.columns
+    arrivals = events.select(on, F.col(ingested_at).alias("_arrived")).where(F.col("_arrived").isNotNull())
+    met = interval_join(alerts, arrivals, on, written_at, "_arrived", "0 seconds", f"-{window}", bin_width, salt)
+    last = met.groupBy(*columns).agg(F.max("_arrived").alias("_arrived"))
+    spent = (F.unix_micros(written_at) - F.unix_micros("_arrived")) / 1000
+    return last.select(*columns, spent.alias("latency_ms"))

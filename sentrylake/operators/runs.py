@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Query names of earlier runs, by the name used now.
@@ -42,16 +42,19 @@ def alias_map(
 
 
 def _against_first(runs: DataFrame, by: str, order: list[str], value: str, size: str) -> DataFrame:
-    """Join every row with the row of the first run for the same key.
+    """Each row with the row of the first run for the same key, and the first run's size.
 
-    The first run is found by one aggregate and its few rows are joined back, so no group is sorted in one task.
+    A run table has one row for each run and key, so two windows over it are read once and stay small.
     """
-    first = runs.agg(F.min(F.struct(*order)).alias("first")).select("first.*")
-    base = runs.join(first, order, "left_semi").select(
-        by, F.col(value).alias("base_value"), F.col(size).alias("base_size"))
-    # The size of the first run is known even for keys it did not measure.
-    base_size = runs.join(first, order, "left_semi").agg(F.max(size)).scalar()
-    return runs.join(base, by, "left").withColumn("base_size", base_size)
+    everything = Window.partitionBy(F.lit(0))
+    place = F.struct(*order)
+    rows = runs.withColumn("_first", F.min(place).over(everything))
+    is_first = place == F.col("_first")
+    same = Window.partitionBy(by)
+    return rows.withColumns({
+        "base_value": F.max(F.when(is_first, F.col(value))).over(same),
+        # The size of the first run is known even for keys it did not measure.
+        "base_size": F.max(F.when(is_first, F.col(size))).over(everything)}).drop("_first")
 
 
 def scaling_report(

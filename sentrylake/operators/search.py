@@ -49,8 +49,17 @@ def match_fuzzy(df: DataFrame, column: str, query: str) -> DataFrame:
 
 
 def match_trigram(df: DataFrame, column: str, query: str, threshold: float = 0.3, score: str = "similarity") -> DataFrame:
-    """Rows whose trigram similarity reaches the threshold, with the score."""
-    return df.withColumn(score, text.trigram_similarity(column, query)).where(F.col(score) >= threshold)
+    """Rows whose trigram similarity reaches the threshold (above zero), with the score.
+
+    Trigrams are taken once for each row that can share one with the query; the row of one element keeps the optimizer
+    from writing them out wherever the score is used.
+    """
+    if threshold <= 0:
+        raise ValueError("the threshold must be above zero")
+    rows = df.where(text.may_share_trigram(column, query))
+    own = rows.withColumn("_trigrams", F.explode(F.array(text.trigrams(F.lower(column)))))
+    return own.withColumn(score, text.shared_trigrams(F.col("_trigrams"), query)).drop("_trigrams").where(
+        F.col(score) >= threshold)
 
 
 def best_trigram(df: DataFrame, column: str, query: str, n: int, time_col: str = "event_timestamp",

@@ -97,6 +97,7 @@ def showcase_suite(events: DataFrame, p: SuiteParams, dialect: str = "search") -
         "fuzzy_latest_hits": typing_errors,
         "search_facet_top_destination_ports": ports,
         "search_facet_top_source_ips": lambda: s.facet(found(), "source_ip"),
-        "search_timeline_histogram": lambda: g.timeline(found(), newest=120),
+        # Only the SQL dialect's question asks for the newest 120 buckets.
+        "search_timeline_histogram": lambda: g.timeline(found(), newest=None if dialect == "search" else 120),
         "ip_pivot_latest_hits": lambda: _listed(f.ip_pivot(rows, p.source_ip), 25),
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,11 +36,14 @@ def build_session(app: str = "sentrylake", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for written tables and stream checkpoints that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session may fall back to a temporary folder.
+    It lies under ``spark.checkpoint.dir``. Only a local session may fall back to a temporary folder, which is removed when
+    the program ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return f"{base.rstrip('/')}/sentrylake/{label}-{uuid.uuid4().hex}"
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"sentrylake-{label}-")
+        folder = tempfile.mkdtemp(prefix=f"sentrylake-{label}-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")

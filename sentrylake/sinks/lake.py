@@ -2,33 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sentrylake.schemas import LAKE_SCHEMA, align, with_event_date
+from sentrylake.session import shared_dir
 
 PARTITIONS = ["event_date", "event_dataset"]
+BLOOM_COLUMNS = ("source_ip", "destination_ip", "zeek_conn_uid")
+
+
+def _bloom(columns: list[str] | tuple[str, ...]) -> dict[str, str]:
+    return {"compression": "snappy"} | {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+
 
+FILE_OPTIONS = _bloom(BLOOM_COLUMNS)
 
-def spread(df: DataFrame, keys: list[str], writers: int = 8) -> DataFrame:
+
+def spread(df: DataFrame, keys: list[str], writers: int | None = None) -> DataFrame:
     """Bring the rows of a partition together for few, large files, without one task taking a whole busy partition.
 
     Batch plans let Spark split and merge at run time (rebalance). A stream cannot re-plan, so each partition's rows
-    go to a fixed number of writers, chosen by row content so that a retried task repeats the choice.
+    go to ``writers`` tasks, by default as many as the session shuffles with, chosen by row content so that a retried
+    task repeats the choice.
     """
     if not df.isStreaming:
         return df.hint("rebalance", *keys)
+    writers = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = F.pmod(F.xxhash64("event_timestamp", "event_original", "message"), F.lit(writers))
     return df.repartition(*[F.col(k) for k in keys], writer)
 
 
 def write_lake(
     df: DataFrame, path: str, checkpoint: str | None = None, trigger: str = "available", table: str | None = None,
-    writers: int = 8,
+    writers: int | None = None,
 ) -> StreamingQuery | None:
     """Append events to the date- and dataset-partitioned table, Parquet with snappy.
 
+    Files are sorted by time, so that a reader skips row groups by time range, and carry Bloom filters of the addresses
+    and connection ids, so that it skips them by equality.
+
     A stream commits at every trigger and continues from ``checkpoint``. ``table`` names a catalog table to append to
     instead of the folder.
     """
@@ -37,35 +55,97 @@ def write_lake(
         if table:
             rows.writeTo(table).append()
         else:
-            rows.write.mode("append").partitionBy(*PARTITIONS).option("compression", "snappy").parquet(path)
+            rows = rows.sortWithinPartitions(*PARTITIONS, "event_timestamp")
+            rows.write.mode("append").partitionBy(*PARTITIONS).options(**FILE_OPTIONS).parquet(path)
         return None
     timing = {"availableNow": True} if trigger == "available" else {"processingTime": trigger}
     stream = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**timing)
     if table:
         return stream.toTable(table)
-    return stream.partitionBy(*PARTITIONS).format("parquet").option("compression", "snappy").option("path", path).start()
+    return stream.partitionBy(*PARTITIONS).format("parquet").options(**FILE_OPTIONS).option("path", path).start()
 
 
 def overwrite_run(df: DataFrame, path: str, run_col: str = "benchmark_id", sort_by: str | None = "event_timestamp") -> None:
-    """Replace the rows of the runs in ``df``; other runs stay. Sorted files let later reads skip row groups."""
-    rows = df.hint("rebalance", run_col)
+    """Replace the rows of the runs in ``df``; other runs stay. A file holds one stretch of time of a run, in order."""
     if sort_by:
-        rows = rows.sortWithinPartitions(run_col, F.desc(sort_by))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col).parquet(path)
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = df.repartitionByRange(parts, run_col, sort_by).sortWithinPartitions(run_col, sort_by)
+    else:
+        rows = df.hint("rebalance", run_col)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col)
+    writer.options(**_bloom([c for c in BLOOM_COLUMNS if c in df.columns])).parquet(path)
 
 
-def upsert(df: DataFrame, keys: list[str], order: str | None = None, existing: DataFrame | None = None) -> DataFrame:
-    """One row per document id: the latest by ``order``, of ``existing`` and new rows together.
+def newest_by_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row per key: the one with the greatest ``order``; rows without one come last, ties are broken by content.
 
-    Doubles collapse before the shuffle, so an id that was sent many times does not gather in one task.
-    A stream needs a watermark, which bounds how long an id is remembered.
+    Only a narrow rank is aggregated; whole rows are neither sorted nor gathered.
     """
-    if df.isStreaming:
-        return df.dropDuplicatesWithinWatermark(keys)
-    rows = df.withColumn("_new", F.lit(1))
-    if existing is not None:
-        rows = rows.unionByName(existing.withColumn("_new", F.lit(0)))
-    # The id cannot tell doubles apart; the row itself breaks ties so that a retry picks the same one.
-    content = F.xxhash64(*[F.col(c) for c in df.columns])
-    rank = F.struct("_new", *([order] if order else []), content)
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), rank).alias("row")).select("row.*")
+    content = F.xxhash64(*[F.col(c) for c in rows.columns])
+    ranked = rows.withColumns({"_order": F.col(order), "_content": content})
+    best = ranked.groupBy(*keys).agg(F.max(F.struct("_order", "_content")).alias("_best"))
+    named = best.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_best")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    won = ranked.join(named, same & (F.struct("_order", "_content") == F.col("_best")), "left_semi")
+    # Deliveries that are equal in every column have one content and all win.
+    return won.drop("_order", "_content").dropDuplicates(rows.columns)
+
+
+def upsert(
+    df: DataFrame, keys: list[str], order: str, path: str | None = None, table: str | None = None,
+    partition_by: list[str] | None = None, checkpoint: str | None = None, trigger: str = "available",
+) -> StreamingQuery | None:
+    """Load rows by id: of all deliveries of an id, stored or new, the one with the greatest ``order`` stays.
+
+    The rule is the same for batches and streams (which load each micro-batch) and for every sink:
+
+    * ``table``: a catalog table that supports it takes a ``MERGE``.
+    * ``path``: a Parquet folder; only those partitions (``partition_by``) that get new rows are read and rewritten, so an
+      id must keep its partition. A rewrite is staged in the shared folder first.
+    """
+    if (path is None) == (table is None):
+        raise ValueError("give either a path or a table")
+
+    def load(batch: DataFrame, _: int = 0) -> None:
+        if table:
+            _merge(newest_by_key(batch, keys, order), keys, order, table)
+        else:
+            _rewrite(batch, keys, order, path, partition_by or [])
+
+    if not df.isStreaming:
+        load(df)
+        return None
+    timing = {"availableNow": True} if trigger == "available" else {"processingTime": trigger}
+    return df.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**timing).start()
+
+
+def _merge(rows: DataFrame, keys: list[str], order: str, table: str) -> None:
+    old = table.split(".")[-1]
+    same = reduce(and_, [F.col(f"new.{k}").eqNullSafe(F.col(f"{old}.{k}")) for k in keys])
+    newer = F.col(f"{old}.{order}").isNull() | (F.col(f"new.{order}") >= F.col(f"{old}.{order}"))
+    rows.alias("new").mergeInto(table, same).whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()
+
+
+def _rewrite(batch: DataFrame, keys: list[str], order: str, path: str, partition_by: list[str]) -> None:
+    spark = batch.sparkSession
+    staged = shared_dir(spark, "upsert")
+    rows = batch
+    if _exists(spark, path):
+        stored = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
+        if partition_by:
+            touched = batch.select(*partition_by).distinct()
+            same = reduce(and_, [stored[c].eqNullSafe(touched[c]) for c in partition_by])
+            stored = stored.join(touched, same, "left_semi")
+        rows = stored.unionByName(batch)
+    newest_by_key(rows, keys, order).write.parquet(staged)
+    ready = spark.read.schema(batch.schema).parquet(staged)
+    writer = spread(ready, partition_by).write.mode("overwrite") if partition_by else ready.write.mode("overwrite")
+    writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic") if partition_by else writer
+    writer.options(**_bloom([c for c in BLOOM_COLUMNS if c in batch.columns])).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.format("binaryFile").load(path).select("path").limit(1).count())
+    except AnalysisException:
+        return False

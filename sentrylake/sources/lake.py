@@ -25,7 +25,8 @@ def lake_files(spark: SparkSession, table: str) -> DataFrame:
     reads no column.
     """
     if not _is_path(table):
-        return spark.table(f"{table}.files").select("file_format", "record_count", "file_path")
+        return spark.table(f"{table}.files").select(
+            "file_format", "record_count", "file_path", F.col("file_size_in_bytes").alias("file_size"))
     return (
         spark.read.schema(LAKE_SCHEMA).parquet(table)
         .groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
@@ -34,10 +35,19 @@ def lake_files(spark: SparkSession, table: str) -> DataFrame:
 
 
 def lake_snapshots(spark: SparkSession, table: str) -> DataFrame:
-    """Commits of the table. A Parquet folder keeps none; there the write times of its files stand in."""
+    """Commits of the table: when, what, and which.
+
+    A Parquet folder keeps no history, but Spark names all files of one write with that write's id: files with the same
+    id are one commit, dated by its last file. What it did to older rows is not recorded, so ``operation`` is ``write``.
+    """
     if not _is_path(table):
         return spark.table(f"{table}.snapshots").select("committed_at", "operation", "snapshot_id")
-    return (
-        spark.read.schema(LAKE_SCHEMA).parquet(table)
-        .groupBy(F.col("_metadata.file_modification_time").alias("committed_at"))
-        .agg(F.lit("append").alias("operation"), F.count("*").alias("record_count")))
+    name = F.element_at(F.split("file_path", "/"), -1)
+    files = spark.read.schema(LAKE_SCHEMA).parquet(table).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("written"))
+    # One row per file first; names look like part-00003-<id of the write>-c000 or .c000.
+    per_file = files.groupBy("file_path", "written").agg(F.count("*").alias("n"))
+    write = F.regexp_extract(name, r"^part-\d+-([0-9a-fA-F-]{36})", 1)
+    return per_file.groupBy(write.alias("snapshot_id")).agg(
+        F.max("written").alias("committed_at"), F.lit("write").alias("operation"), F.sum("n").alias("record_count")).select(
+        "committed_at", "operation", "snapshot_id", "record_count")

@@ -9,38 +9,53 @@ from pyspark.sql import types as T
 from sentrylake.schemas import CONN_SCHEMA, IDS_SCHEMA, to_flat
 from sentrylake.streaming.eventtime import with_event_time
 
-CORRUPT = "_corrupt_record"
+CORRUPT, ORIGIN = "_corrupt_record", "_origin"
 
 
-def decode_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+def decode_json(df: DataFrame, schema: T.StructType, value: str = "value", origin: bool = False) -> DataFrame:
     """JSON text -> flat columns plus ``_corrupt_record``.
 
     A field of the wrong type becomes NULL and the other fields stay; an unreadable document is all NULL. In both
-    cases ``_corrupt_record`` holds the text. NULL records (deletions) are dropped.
+    cases ``_corrupt_record`` holds the text. NULL records (deletions) are dropped. ``origin`` keeps the text and where it
+    came from, the other columns of ``df``, as the struct ``_origin``.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return to_flat(df.where(F.col(value).isNotNull()).select(parsed.alias("doc")).select("doc.*"))
+    kept = [F.struct(*df.columns).alias(ORIGIN)] if origin else []
+    rows = df.where(F.col(value).isNotNull()).select(parsed.alias("doc"), *kept)
+    return to_flat(rows.select("doc.*", *([ORIGIN] if origin else [])))
 
 
 def split_quarantine(df: DataFrame, time_col: str = "event_timestamp") -> tuple[DataFrame, DataFrame]:
     """(usable events, quarantined rows). A row without an event time cannot enter a window and is quarantined."""
     good = df.where(F.col(time_col).isNotNull())
     bad = df.where(F.col(time_col).isNull())
-    return (good.drop(CORRUPT) if CORRUPT in df.columns else good), bad
+    return good.drop(CORRUPT, ORIGIN), bad
+
+
+def dead_letters(bad: DataFrame, time_col: str = "event_timestamp") -> DataFrame:
+    """Quarantined rows with all that is needed to repair them: ``raw_value``, ``reason``, where and when they came in."""
+    broken = F.col(CORRUPT).isNotNull() & F.to_json(F.struct(*[c for c in bad.columns if c not in (CORRUPT, ORIGIN)])).eqNullSafe("{}")
+    reason = F.when(broken, "unreadable document").when(F.col(CORRUPT).isNotNull(), f"unreadable {time_col}").otherwise(f"no {time_col}")
+    return bad.select(F.col(f"{ORIGIN}.value").alias("raw_value"), reason.alias("reason"), f"{ORIGIN}.source", f"{ORIGIN}.arrived_at")
+
+
+_PLACE = "concat_ws('/', topic, partition, offset) AS source"
 
 
 def _records(spark: SparkSession, source: dict[str, str], starting: str) -> DataFrame:
-    """One ``value`` column from a message bus or from a folder of JSON lines."""
+    """(value, source, arrived_at) from a message bus or from a folder of JSON lines."""
     options = dict(source)
     kind = options.pop("format", "text")
     if kind == "kafka":
         reader = spark.readStream.format("kafka").option("startingOffsets", starting).options(**options)
-        return reader.load().select(F.col("value").cast("string").alias("value"))
-    path = options.pop("path")
-    if starting == "latest":
-        options.setdefault("latestFirst", "true")
-    return spark.readStream.options(**options).text(path)
+        return reader.load().selectExpr("CAST(value AS STRING) AS value", _PLACE, "timestamp AS arrived_at")
+    path, since = options.pop("path"), options.pop("since", None)
+    if starting == "latest" and since is None:
+        raise ValueError("a folder has no end to start at: give the source 'since', a time that stays the same on restarts")
+    lines = spark.readStream.options(**options).text(path).select(
+        "value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_modification_time").alias("arrived_at"))
+    return lines.where(F.col("arrived_at") >= F.to_timestamp(F.lit(since))) if starting == "latest" else lines
 
 
 def _read(spark: SparkSession, source: dict[str, str], schema: T.StructType, starting: str,
@@ -57,8 +72,9 @@ def read_conn_stream(
     """Connection events as a stream.
 
     ``source`` is ``{"format": "kafka", "kafka.bootstrap.servers": ..., "subscribe": ...}`` (needs the connector on
-    the class path) or ``{"path": folder}``, with further reader options. ``watermark=None`` is the archive scan: an
-    independent reader whose position is its own checkpoint.
+    the class path) or ``{"path": folder}``, with further reader options. ``starting="latest"`` leaves out what was there
+    before: on a bus by its offsets, in a folder by the write time of the files, from the source's ``since`` on.
+    ``watermark=None`` is the archive scan: an independent reader whose position is its own checkpoint.
     """
     return _read(spark, source, CONN_SCHEMA, starting, watermark)
 
@@ -72,13 +88,16 @@ def read_ids_stream(
 
 def quarantined_stream(spark: SparkSession, source: dict[str, str], schema: T.StructType,
                        starting: str = "earliest") -> DataFrame:
-    """The records the event streams leave out, for a dead-letter sink of their own."""
-    _, bad = split_quarantine(decode_json(_records(spark, source, starting), schema))
-    return bad.select(CORRUPT, "event_original")
+    """The records the event streams leave out, for a dead-letter sink of their own; see :func:`dead_letters`."""
+    _, bad = split_quarantine(decode_json(_records(spark, source, starting), schema, origin=True))
+    return dead_letters(bad)
 
 
 def read_events_jsonl(
     spark: SparkSession, paths: str | list[str], schema: T.StructType,
 ) -> tuple[DataFrame, DataFrame]:
-    """Normalised JSON lines -> (events, rows without a time), both with the usual columns."""
-    return split_quarantine(decode_json(spark.read.text(paths).where(F.trim("value") != ""), schema))
+    """Normalised JSON lines -> (events, dead letters)."""
+    lines = spark.read.text(paths).where(F.trim("value") != "").select(
+        "value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_modification_time").alias("arrived_at"))
+    good, bad = split_quarantine(decode_json(lines, schema, origin=True))
+    return good, dead_letters(bad)

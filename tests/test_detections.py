@@ -1,27 +1,26 @@
+import plain_rules as plain
 import pytest
 from fixture_rows import CONN_FLUSH, CONNS, IDS, IDS_FLUSH, batch, conn, ids, write_lines
 
 from sentrylake.operators import detections as d
 from sentrylake.schemas import ALERT_SCHEMA, CONN_SCHEMA, IDS_SCHEMA
 from sentrylake.sources.streams import read_conn_stream, read_ids_stream
-from sentrylake.streaming.run import drain, run_rules
+from sentrylake.streaming.run import drain, run_rules, start_query
 
-SCAN = {
-    ("12:39:00", "12:41:00", "192.168.10.10", 5, 5, 4, 200, 3), ("12:39:30", "12:41:30", "192.168.10.10", 5, 5, 4, 200, 3),
-    ("12:40:00", "12:42:00", "192.168.10.10", 5, 5, 4, 200, 3),
-    ("12:40:30", "12:42:30", "192.168.20.20", 3, 1, 3, 6_920_000, 3),
-    ("12:41:00", "12:43:00", "192.168.20.20", 3, 1, 3, 6_920_000, 3),
-    ("12:41:30", "12:43:30", "192.168.30.30", 3, 1, 3, 8_550_000, 3),
-    ("12:42:00", "12:44:00", "192.168.30.30", 3, 1, 3, 8_550_000, 3),
-}
-COUNTS = {"port_scan": 7, "top_talkers": 2, "exfiltration": 8, "alert_burst": 4, "correlation": 2, "protocol_anomaly": 5}
-# Without a later row the last windows stay open.
-OPEN_COUNTS = {**COUNTS, "port_scan": 6, "top_talkers": 0, "exfiltration": 1, "alert_burst": 0}
+ALL_CONNS, ALL_IDS = [*CONNS, CONN_FLUSH], [*IDS, IDS_FLUSH]
+SCAN = plain.port_scan(ALL_CONNS)
+COUNTS = plain.counts(ALL_CONNS, ALL_IDS)
+# Without a later row the windows of the last half minute and more stay open.
+OPEN_COUNTS = plain.counts(CONNS, IDS, until=30)
+
+
+def test_the_rows_raise_every_rule():
+    assert min(COUNTS.values()) > 0 and sum(OPEN_COUNTS.values()) < sum(COUNTS.values())
 
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    return batch(spark, [*CONNS, CONN_FLUSH], CONN_SCHEMA), batch(spark, [*IDS, IDS_FLUSH], IDS_SCHEMA)
+    return batch(spark, ALL_CONNS, CONN_SCHEMA), batch(spark, ALL_IDS, IDS_SCHEMA)
 
 
 def scan_rows(df):
@@ -35,13 +34,11 @@ def test_port_scan(tables):
     alerts = d.detect_port_scan(tables[0])
     assert alerts.schema.names == ALERT_SCHEMA.names
     assert scan_rows(alerts) == SCAN
-    row = alerts.where("source_ip = '192.168.10.10'").orderBy("window_start").first()
-    assert row.event_timestamp == row.window_end == "2012-03-16T12:41:00.000"
+    row = alerts.where("source_ip = '10.4.7.9'").orderBy("window_start").first()
+    assert row.event_timestamp == row.window_end == "2031-09-04T07:16:00.000"
     assert row.rule_id == row.pipeline == "flink.zeek.port_scan"
-    assert row.alert_reason == (
-        "Source IP 192.168.10.10 contacted 5 unique destination ports across 4 destination IPs in 2 minute(s).")
-    assert row.alert_evidence == (
-        "flow_count=5, unique_destination_ports=5, unique_destination_ips=4, total_network_bytes=200")
+    assert row.alert_reason == "Source IP 10.4.7.9 contacted 6 unique destination ports across 3 destination IPs in 2 minute(s)."
+    assert row.alert_evidence == "flow_count=6, unique_destination_ports=6, unique_destination_ips=3, total_network_bytes=507"
 
 
 def test_port_scan_approximate_agrees_on_small_counts(tables):
@@ -66,8 +63,7 @@ def test_port_scan_ignores_null_ports_and_escalates(spark):
 def test_top_talkers(tables):
     found = {(r.source_ip, r.destination_ip, r.network_bytes, r.alert_count, r.event_severity, r.window_start[11:19])
              for r in d.detect_top_talkers(tables[0]).collect()}
-    assert found == {("192.168.30.30", None, 8_550_000, 3, 3, "12:40:00"),
-                     ("192.168.20.20", None, 6_920_000, 3, 3, "12:40:00")}
+    assert found == plain.top_talkers(ALL_CONNS) and len(found) > 1
 
 
 def test_top_talkers_as_destination(spark):
@@ -81,16 +77,13 @@ def test_exfiltration(tables):
     found = {(r.source_ip, r.window_start[11:19], r.destination_ip, r.network_bytes,
               r.zeek_scan_unique_destination_ips, r.alert_count, r.event_severity)
              for r in d.detect_exfiltration(tables[0]).collect()}
-    assert found == {
-        *(("192.168.20.20", f"12:{m}:00", "203.0.113.50", 6_920_000, 3, 3, 2) for m in (38, 39, 40, 41)),
-        *(("192.168.30.30", f"12:{m}:00", "198.51.100.97", 8_550_000, 3, 3, 1) for m in (39, 40, 41, 42))}
+    assert found == plain.exfiltration(ALL_CONNS) and {x[-1] for x in found} == {1, 2}
 
 
 def test_alert_burst(tables):
     found = {(r.source_ip, r.window_start[11:19], r.destination_ip, r.alert_count, r.alert_rule_ids, r.event_severity)
              for r in d.detect_alert_burst(tables[1]).collect()}
-    assert found == {("192.168.50.50", f"12:{m}:00", "198.51.100.150", 3, "1:900002:1,1:900003:1,1:900004:1", 2)
-                     for m in (38, 39, 40, 41)}
+    assert found == plain.alert_burst(ALL_IDS) and "3:12:4,3:300:9,3:77:1,3:77:1" in {x[4] for x in found}
 
 
 def test_alert_burst_repeats_rule_ids(spark):
@@ -103,8 +96,7 @@ def test_alert_burst_repeats_rule_ids(spark):
 def test_correlation(tables, salt):
     found = {(r.window_start[11:19], r.window_end[11:19], r.destination_ip, r.network_bytes, r.event_severity)
              for r in d.detect_correlation(tables[1], tables[0], d.Correlation(salt=salt)).collect()}
-    assert found == {("12:41:10", "12:41:30", "203.0.113.51", 2_240_000, 1),
-                     ("12:41:10", "12:42:00", "203.0.113.52", 2_130_000, 1)}
+    assert found == plain.correlation(ALL_IDS, ALL_CONNS) and len(found) == 3
 
 
 def test_correlation_bounds_are_inclusive(spark):
@@ -118,12 +110,7 @@ def test_correlation_bounds_are_inclusive(spark):
 def test_protocol_anomaly(tables):
     found = {(r.event_timestamp[11:19], r.source_ip, r.destination_port, r.correlation_type, r.event_severity)
              for r in d.detect_protocol_anomaly(tables[0]).collect()}
-    assert found == {
-        ("12:42:20", "192.168.30.30", 8443, "http_unexpected_port", 3),
-        ("12:42:40", "192.168.30.30", 8443, "http_unexpected_port", 3),
-        ("12:43:00", "192.168.30.30", 8443, "http_unexpected_port", 3),
-        ("12:44:20", "192.168.40.41", 22, "http_unexpected_port", 3),
-        ("12:44:00", "192.168.40.40", 5555, "unknown_service_high_bytes", 2)}
+    assert found == plain.anomalies(ALL_CONNS) and len({x[3] for x in found}) == 5
 
 
 @pytest.mark.parametrize(("port", "service", "transport", "kind"), [
@@ -150,7 +137,7 @@ def test_streams_agree_with_batch(spark, tmp_path, flush, expected):
     started = run_rules(outputs, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     for query in started.values():
         query.awaitTermination()
-    batch_outputs = d.rule_outputs(batch(spark, [*CONNS, CONN_FLUSH], CONN_SCHEMA), batch(spark, [*IDS, IDS_FLUSH], IDS_SCHEMA))
+    batch_outputs = d.rule_outputs(batch(spark, ALL_CONNS, CONN_SCHEMA), batch(spark, ALL_IDS, IDS_SCHEMA))
     for name, count in expected.items():
         got = spark.read.schema(ALERT_SCHEMA).parquet(str(tmp_path / "out" / f"rule={name}"))
         assert got.count() == count, name
@@ -165,9 +152,35 @@ def test_late_rows_are_dropped(spark, tmp_path):
         stream = read_conn_stream(spark, {"path": str(folder)})
         return drain(d.detect_top_talkers(stream, d.TopTalkers(bytes=1, flows=1)), out, checkpoint)
 
-    write_lines(folder, [conn("12:40:00", "10.0.0.1", "10.0.0.2", 80, 5, 5)], "a.jsonl")
+    write_lines(folder, [conn("07:10:00", "10.0.0.1", "10.0.0.2", 80, 5, 5)], "a.jsonl")
     write_lines(folder, [CONN_FLUSH], "b.jsonl")
     assert run().count() == 2
-    # The window 12:40-12:45 was closed by the first run; the restart continues from its checkpoint.
-    write_lines(folder, [conn("12:41:00", "10.0.0.7", "10.0.0.2", 80, 5, 5)], "c.jsonl")
+    # The window 07:10-07:15 was closed by the first run; the restart continues from its checkpoint.
+    write_lines(folder, [conn("07:11:00", "10.0.0.7", "10.0.0.2", 80, 5, 5)], "c.jsonl")
     assert run().where("source_ip = '10.0.0.7'").count() == 0
+
+
+@pytest.mark.parametrize("salt", [1, 4])
+def test_stream_correlation_follows_all_rows(spark, tmp_path, salt):
+    """Rows that count for nothing still carry event time forward, so that state is let go."""
+    quiet = [conn(f"07:{m}:00", "10.9.9.9", "10.9.9.8", 80, 1, 1) for m in range(30, 50, 5)]
+    calm = [ids(f"07:{m}:00", "10.9.9.9", "10.9.9.8", 80, 3, "3:1:1") for m in range(30, 50, 5)]
+    folders = [write_lines(tmp_path / "conn", CONNS, "a.jsonl"), write_lines(tmp_path / "ids", IDS, "a.jsonl")]
+    out = tmp_path / "out"
+
+    def run():
+        flows, alerts = (read({"path": f}) for read, f in zip((lambda x: read_conn_stream(spark, x), lambda x: read_ids_stream(spark, x)), folders))
+        query = start_query(d.detect_correlation(alerts, flows, d.Correlation(salt=salt)), str(out), str(tmp_path / "ckpt"))
+        query.awaitTermination()
+        return [p for p in query.recentProgress if p["stateOperators"]]
+
+    first = run()
+    got = {(r.window_start[11:19], r.window_end[11:19], r.destination_ip, r.network_bytes, r.event_severity)
+           for r in spark.read.schema(ALERT_SCHEMA).parquet(str(out)).collect()}
+    assert got == plain.correlation(IDS, CONNS)
+    assert first[-1]["stateOperators"][0]["numRowsTotal"] > 0
+    write_lines(tmp_path / "conn", quiet, "b.jsonl")
+    write_lines(tmp_path / "ids", calm, "b.jsonl")
+    last = run()[-1]
+    assert last["eventTime"]["watermark"] == "2031-09-04T07:44:30.000Z"
+    assert last["stateOperators"][0]["numRowsTotal"] == 0

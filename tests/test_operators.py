@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import plain_rules as plain
 import pytest
 from fixture_rows import CONNS, IDS, batch
 from pyspark.sql import functions as F
@@ -47,10 +48,11 @@ def test_exact_percentiles(spark, kind):
 
 
 def test_latency_summary(spark):
-    rows = spark.createDataFrame([("q", float(i)) for i in range(5)] + [(None, 1.0)], "query string, sample_ms double")
+    rows = spark.createDataFrame([("q", float(i)) for i in range(5)] + [(None, 1.0), ("none", None)], "query string, sample_ms double")
     found = {x.query: x for x in g.latency_summary(rows, ["query"]).collect()}
     assert found["q"].p95_ms == 3.8 and found["q"].avg_ms == 2.0 and found["q"].iterations == 5
     assert found[None].p50_ms == 1.0
+    assert (found["none"].iterations, found["none"].p50_ms, found["none"].max_ms) == (0, None, None)
 
 
 def test_row_index_is_dense_and_ordered(spark):
@@ -83,13 +85,14 @@ def test_evidence_meets_once(spark, salt):
     conns = batch(spark, CONNS, CONN_SCHEMA).withColumn("event_id", F.col("zeek_conn_uid"))
     alerts = all_alerts(conns, batch(spark, IDS, IDS_SCHEMA)).withColumn("alert_id", F.concat("rule_id", "window_start", "window_end", "message"))
     correlated = alerts.where("rule_name = 'snort_zeek.correlation'")
-    # The alert that ends 12:41:30 sees one flow, the one that ends 12:42:00 two; each shares both addresses with a flow.
+    # The three alerts begin at 07:17:20 and end with a flow each; each shares both addresses with its flow.
     found = evidence_for(correlated, conns, salt=salt).groupBy("alert_id").count().collect()
-    assert sorted(x["count"] for x in found) == [1, 2]
+    assert sorted(x["count"] for x in found) == [1, 2, 3]
     pairs = evidence_for(alerts, conns, salt=salt, slack="10 seconds")
     assert pairs.count() == pairs.distinct().count() > 0
     scan = evidence_for(alerts.where(F.col("rule_name") == PORT_SCAN_RULE.name), conns, salt=salt)
-    assert scan.where("alert_id like '%192.168.10.10'").count() == 15
+    sweeps = [x for x in plain.port_scan(CONNS) if x[2] == "10.4.7.9"]
+    assert scan.where("alert_id like '%10.4.7.9'").count() == sum(x[3] for x in sweeps) > 0
 
 
 def test_missing_rules_and_deltas(spark):
@@ -98,12 +101,17 @@ def test_missing_rules_and_deltas(spark):
     assert [x.rule_id for x in missing_rules(expected, alerts).collect()] == ["b"]
     after = spark.createDataFrame([("a",), ("a",), ("a",), ("b",)], "rule_id string")
     assert {tuple(x) for x in count_delta(alerts, after, ["rule_id"], 1).collect()} == {("a", 2, 3, 1, True), ("b", 0, 1, 1, True)}
+    nulls = spark.createDataFrame([(None,), (None,)], "rule_id string")
+    assert [tuple(x) for x in count_delta(nulls.limit(1), nulls, ["rule_id"], 2).collect()] == [(None, 1, 2, 1, False)]
 
 
 def test_alert_latency(spark):
-    events = spark.createDataFrame([("x", T0)], "id string, ingest_ts timestamp")
-    alerts = spark.createDataFrame([("x", T0 + timedelta(milliseconds=1500))], "id string, written_at timestamp")
-    assert alert_latency(alerts, events, ["id"]).first().latency_ms == 1500
+    at = lambda ms: T0 + timedelta(milliseconds=ms)
+    events = spark.createDataFrame([("x", at(0)), ("x", at(-500)), ("x", at(6500)), ("y", at(-400_000)), (None, at(0)), ("x", None)],
+                                   "id string, ingest_ts timestamp")
+    alerts = spark.createDataFrame([("x", at(1500), 1), ("x", at(1500), 2), ("y", at(0), 3), (None, at(5), 4)], "id string, written_at timestamp, n int")
+    assert sorted((r.n, r.latency_ms) for r in alert_latency(alerts, events, "id").collect()) == [(1, 1500), (2, 1500)]
+    assert alert_latency(alerts, events, "id", window="10 minutes", salt=3).where("id = 'y'").first().latency_ms == 400_000
 
 
 def test_timelines(spark):
@@ -121,34 +129,44 @@ def test_timelines(spark):
 
 def test_filters_and_top_lists(spark):
     conns = batch(spark, CONNS, CONN_SCHEMA)
-    assert f.ip_pivot(conns, "198.51.100.20").count() == 2
-    assert f.large_transfers(conns).count() == 8
-    assert f.time_range(conns, "2012-03-16 12:41:00", "2012-03-16 12:42:00").count() == 3
-    assert f.severity_at_most(batch(spark, IDS, IDS_SCHEMA), 1).count() == 3
-    assert [tuple(x) for x in g.top_counts(conns, "source_ip", 2).collect()] == [("192.168.10.10", 5), ("192.168.20.20", 3)]
-    assert [tuple(x) for x in g.top_sum(conns, "source_ip", "network_bytes", 1).collect()] == [("192.168.30.30", 8_550_000)]
-    assert g.top_sum(conns, "source_ip", "network_bytes", 1, order_by="count").first().source_ip == "192.168.10.10"
+    assert f.ip_pivot(conns, "100.64.8.13").count() == 2
+    assert f.large_transfers(conns).count() == sum(c["network.bytes"] >= 1_000 for c in CONNS) == 10
+    assert f.time_range(conns, "2031-09-04 07:17:05", "2031-09-04 07:17:50").count() == 3
+    assert f.severity_at_most(batch(spark, IDS, IDS_SCHEMA), 1).count() == 2
+    assert [tuple(x) for x in g.top_counts(conns, "source_ip", 2).collect()] == [("10.4.7.9", 6), ("172.16.5.5", 4)]
+    assert [tuple(x) for x in g.top_sum(conns, "source_ip", "network_bytes", 1).collect()] == [("10.8.8.8", 13_260_003)]
+    assert g.top_sum(conns, "source_ip", "network_bytes", 1, order_by="count").first().source_ip == "10.4.7.9"
     payload = spark.createDataFrame([('{"a.b":"5"}',), ('{"a.b":""}',), ('{"a.b":"x"}',), ("{}",), ('{"a.b":7}',)], "p string")
     assert [x[0] for x in payload.select(f.payload_int("p", "a.b")).collect()] == [5, None, None, None, 7]
 
 
 def test_corpus(spark):
-    base = batch(spark, CONNS, CONN_SCHEMA).drop("event_time").withColumn("event_id", F.unix_micros("event_timestamp"))
-    grown = scale_out(base, "run", target_rows=30).orderBy("benchmark_seq").collect()
-    assert len(grown) == 30 and grown[0].event_id == "run-event-1"
-    assert grown[13].benchmark_cycle == 1 and grown[13].event_timestamp == grown[0].event_timestamp + timedelta(minutes=1)
-    assert [x.source_ip for x in grown[:13]] == [c["source.ip"] for c in CONNS]
-    assert scale_out(base, "run", "medium").count() == 130 and multiplier(13, 30) == 3
-
-    tagged = scale_out(base, "run", target_rows=13).withColumns({c: F.lit(None).cast("string") for c in ("rule_id", "rule_name", "rule_category")}) \
+    n = len(CONNS)
+    base = batch(spark, CONNS, CONN_SCHEMA).drop("event_time").repartition(3)
+    grown = scale_out(base, "run", target_rows=2 * n + 4).orderBy("benchmark_seq").collect()
+    assert [x.benchmark_seq for x in grown] == list(range(1, 2 * n + 5)) and grown[0].event_id == "run-event-1"
+    assert grown[n].benchmark_cycle == 1 and grown[n].event_timestamp == grown[0].event_timestamp + timedelta(minutes=1)
+    assert [x.source_ip for x in grown[:n]] == [c["source.ip"] for c in sorted(CONNS, key=lambda c: c["@timestamp"])]
+    assert scale_out(base, "run", "medium").count() == 10 * n and multiplier(n, 2 * n + 4) == 3
+    assert scale_out(base, "run", target_rows=3).count() == 3
+    # Doubles and events without a time are numbered too; an id that is there stays.
+    odd = base.unionByName(base).unionByName(base.limit(1).withColumn("event_timestamp", F.lit(None).cast("timestamp")))
+    odd = odd.withColumn("event_id", F.when(F.col("source_ip") == "10.4.7.9", F.col("zeek_conn_uid")))
+    made = scale_out(odd, "run", "small").collect()
+    assert sorted(x.benchmark_seq for x in made) == list(range(1, 2 * n + 2))
+    assert all(x.event_id == (x.zeek_conn_uid if x.source_ip == "10.4.7.9" else f"run-event-{x.benchmark_seq}") for x in made)
+
+    tagged = scale_out(base, "run", target_rows=n).withColumns({c: F.lit(None).cast("string") for c in ("rule_id", "rule_name", "rule_category")}) \
         .withColumn("event_severity", F.lit(None).cast("int"))
     alerts = derive_alerts(tagged).orderBy("benchmark_seq").collect()
-    assert [x.benchmark_seq for x in alerts] == [5, 10] and alerts[1].rule_id == "benchmark.zeek.large_transfer"
+    assert [x.benchmark_seq for x in alerts] == [5, 10, 15] and alerts[1].rule_id == "benchmark.zeek.large_transfer"
     assert alerts[0].event_timestamp - alerts[0].window_start == timedelta(seconds=2)
     only, = derive_alerts(tagged, every=50).collect()
     assert only.benchmark_seq == 1 and only.event_id == "run-alert-1" and only.rule_id == "benchmark.zeek.connection"
+    bare = derive_alerts(tagged.withColumns({c: F.lit(None).cast("string") for c in ("event_id", "event_dataset")})).first()
+    assert bare.alert_evidence.startswith("event_id=None dataset=None bytes=")
     row = g.corpus_summary(tagged).first()
-    assert (row.event_count, row.alert_count, row.dataset_values, row.sample_source_ip) == (13, 2, "zeek.conn", "192.168.10.10")
+    assert (row.event_count, row.alert_count, row.dataset_values, row.sample_source_ip) == (n, 3, "zeek.conn", "10.4.7.9")
     assert row.time_range_mid - row.time_range_start == row.time_range_end - row.time_range_mid
 
 
@@ -216,20 +234,20 @@ def test_suites(spark, dialect):
 
     flat = batch(spark, CONNS, CONN_SCHEMA).drop("event_time").withColumns({
         "event_id": F.col("zeek_conn_uid"), "benchmark_id": F.lit("r"), "event_severity": F.lit(2), "rule_id": F.lit("x")})
-    p = SuiteParams("r", "2012-03-16 12:40:00", "2012-03-16 12:41:00", "2012-03-16 12:50:00", "zeek.conn", "192.168.10.10",
-                    "198.51.100.20", "tcp connection 198.51.100.20")
+    p = SuiteParams("r", "2031-09-04 07:15:00", "2031-09-04 07:17:05", "2031-09-04 07:30:00", "zeek.conn", "10.4.7.9",
+                    "100.64.3.1", "tcp connection 100.64.3.1")
     for events in (flat, to_serving(flat)):
         base, show = baseline_suite(events, events, p), showcase_suite(events, p, dialect)
         assert (len(base), len(show)) == (10, 7)
         assert {n: q().count() for n, q in base.items()} == {
-            "time_range_search": 6, "filter_by_dataset": 1, "filter_by_source_ip": 1, "filter_by_destination_ip": 1,
-            "alerts_by_severity": 1, "alerts_by_rule": 1, "top_source_ip_by_event_count": 5,
-            "top_destination_ip_by_event_count": 10, "top_talkers_by_network_bytes": 5, "message_search": 2}
+            "time_range_search": 7, "filter_by_dataset": 1, "filter_by_source_ip": 1, "filter_by_destination_ip": 1,
+            "alerts_by_severity": 1, "alerts_by_rule": 1, "top_source_ip_by_event_count": 6,
+            "top_destination_ip_by_event_count": 10, "top_talkers_by_network_bytes": 6, "message_search": 2}
         found = {n: q().count() for n, q in show.items()}
         assert found["multi_field_latest_hits"] == 2 and found["search_facet_top_destination_ports"] == 2
-        assert found["search_timeline_histogram"] == 1 and found["ip_pivot_latest_hits"] == 5
-        # Every text has the token ``tcp``; none starts with ``tcp connection 198``, as the sources are 192.168...
-        assert found["autocomplete_latest_hits"] == (13 if dialect == "search" else 0)
+        assert found["search_timeline_histogram"] == 1 and found["ip_pivot_latest_hits"] == 6
+        # All texts but one have the token ``tcp``; none starts with ``tcp connection 100``, as the sources are 10. and 172.
+        assert found["autocomplete_latest_hits"] == (len(CONNS) if dialect == "search" else 0)
         assert found["fuzzy_latest_hits"] >= 2
     other = SuiteParams("else", p.start, p.mid, p.end, p.dataset, p.source_ip, p.destination_ip)
     assert baseline_suite(flat, flat, other)["message_search"]().isEmpty()
