@@ -22,7 +22,7 @@ RULES = d.RuleSet(
     top_talkers=d.TopTalkers(window="1 day", bytes=200_000, flows=3),
     exfiltration=d.Exfiltration(window="1 day", slide="6 hours", bytes=100_000, flows=2),
     alert_burst=d.AlertBurst(window="1 day", slide="6 hours", severity_max=2, count=2),
-    correlation=d.Correlation(window="12 hours", severity_max=2, bytes=40_000),
+    correlation=d.Correlation(window="12 hours", severity_max=2, bytes=40_000, salt=4),
     protocol_anomaly=d.ProtocolAnomaly(unknown_bytes=20_000),
 )
 DELAY_SECONDS = 30
@@ -81,11 +81,12 @@ def _recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alert_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = a.conns(spark, sf_dir)
-    alerts = d.detect_alert_burst(a.ids(spark, sf_dir), RULES.alert_burst).select(
-        "source_ip", F.to_timestamp("window_end").alias("written_at"))
-    last = events.groupBy("source_ip").agg(F.max("event_time").alias("ingest_ts"))
-    return alert_latency(alerts, last, ["source_ip"]).select("source_ip", F.round("latency_ms", 3).alias("latency_ms"))
+    """Alerts that become visible k hours after their event, against the arrivals of all events of the source."""
+    arrivals = a.conns(spark, sf_dir).select("source_ip", F.col("event_time").alias("ingest_ts"))
+    written = F.col("event_time") + F.make_dt_interval(hours=F.col("k"))
+    alerts = a.ids(spark, sf_dir).select("source_ip", "event_id", written.alias("written_at"))
+    found = alert_latency(alerts, arrivals, "source_ip", window="2 days", bin_width="6 hours")
+    return found.select("source_ip", "event_id", "latency_ms")
 
 
 # ---------------------------------------------------------------------------------------------- SQL for the check
@@ -94,11 +95,20 @@ _COMMON = {
 }
 
 
-def _alert_select(rule: d.RuleMeta, source: str, **fields: str) -> str:
+# Rule name, category, event categories, event types.
+_SCAN = "zeek.port_scan", "reconnaissance", "network", "indicator,connection"
+_TALKER = "zeek.top_talker", "network_volume", "network", "indicator"
+_EXFILTRATION = "zeek.possible_exfiltration", "exfiltration", "network,data_access", "indicator"
+_BURST = "snort.repeated_critical", "intrusion_detection", "intrusion_detection", "indicator"
+_CORRELATION = "snort_zeek.correlation", "correlation", "intrusion_detection,network", "indicator,correlation"
+_ANOMALY = "zeek.protocol_anomaly", "protocol_anomaly", "network", "indicator,anomaly"
+
+
+def _alert_select(rule: tuple[str, str, str, str], source: str, **fields: str) -> str:
+    name, category, categories, types = rule
     values = {
-        **_COMMON, "rule_id": f"'flink.{rule.name}'", "rule_name": f"'{rule.name}'", "rule_category": f"'{rule.category}'",
-        "pipeline": f"'flink.{rule.name}'", "event_category": f"'{','.join(rule.event_category)}'",
-        "event_type": f"'{','.join(rule.event_type)}'", **fields,
+        **_COMMON, "rule_id": f"'flink.{name}'", "rule_name": f"'{name}'", "rule_category": f"'{category}'",
+        "pipeline": f"'flink.{name}'", "event_category": f"'{categories}'", "event_type": f"'{types}'", **fields,
     }
     listed = [f"{values.get(n, 'NULL')} AS {n}" for n in map(flat_name, ALERT_FIELDS)]
     return "SELECT " + ", ".join(listed) + f" FROM {source}"
@@ -123,7 +133,7 @@ def _port_scan_sql(closed: str = "TRUE") -> str:
       FROM ({_hop('conn')}) GROUP BY ALL
       HAVING (ports >= 4 OR ips >= 6) AND {closed})"""
     return a.sql(_alert_select(
-        d.PORT_SCAN_RULE, "scan", **_HOP_TEXT,
+        _SCAN, "scan", **_HOP_TEXT,
         event_severity="CASE WHEN ports >= 8 OR ips >= 12 THEN 2 ELSE 3 END", source_ip="source_ip",
         network_bytes="bytes", alert_count="flows", related_ip="source_ip",
         alert_reason="format('Source IP {} contacted {} unique destination ports across {} destination IPs in 1 day.', "
@@ -145,7 +155,7 @@ def _top_talkers_sql(closed: str = "TRUE") -> str:
         FROM roles GROUP BY ALL)
       WHERE bytes >= 200000 AND flows >= 3 AND {closed})"""
     return a.sql(_alert_select(
-        d.TOP_TALKER_RULE, "volume", **_HOP_TEXT,
+        _TALKER, "volume", **_HOP_TEXT,
         event_severity="CASE WHEN bytes >= 400000 THEN 2 ELSE 3 END",
         source_ip="CASE WHEN direction = 'source' THEN host END",
         destination_ip="CASE WHEN direction = 'destination' THEN host END", network_bytes="bytes", alert_count="flows",
@@ -163,7 +173,7 @@ def _exfiltration_sql(closed: str = "TRUE") -> str:
       FROM ({_hop('conn', "source_ip LIKE '192.168.%' AND NOT destination_ip LIKE '10.%'")}) GROUP BY ALL
       HAVING sent >= 100000 AND flows >= 2 AND {closed})"""
     return a.sql(_alert_select(
-        d.EXFILTRATION_RULE, "outbound", **_HOP_TEXT,
+        _EXFILTRATION, "outbound", **_HOP_TEXT,
         event_severity="CASE WHEN sent >= 200000 THEN 1 ELSE 2 END", source_ip="source_ip", destination_ip="sample",
         network_bytes="bytes", alert_count="flows", related_ip="source_ip || ',' || sample",
         alert_reason="format('Internal source {} sent sustained outbound traffic to external destinations.', source_ip)",
@@ -179,7 +189,7 @@ def _alert_burst_sql(closed: str = "TRUE") -> str:
       SELECT ws, source_ip, min(destination_ip) AS sample, count(*) AS n, string_agg(rule_id, ',' ORDER BY rule_id) AS fired
       FROM ({_hop('ids', 'event_severity <= 2')}) GROUP BY ALL HAVING n >= 2 AND {closed})"""
     return a.sql(_alert_select(
-        d.BURST_RULE, "burst", **_HOP_TEXT,
+        _BURST, "burst", **_HOP_TEXT,
         event_severity="CASE WHEN n >= 4 THEN 1 ELSE 2 END", source_ip="source_ip", destination_ip="sample",
         alert_reason="format('Source IP {} triggered repeated critical Snort alerts.', source_ip)",
         alert_evidence="format('alert_count={}, rule_ids={}', n, fired)", alert_count="n", alert_rule_ids="fired",
@@ -195,7 +205,7 @@ def _correlation_sql() -> str:
         AND c.event_time >= i.event_time AND c.event_time <= i.event_time + INTERVAL 12 HOUR
       WHERE i.event_severity <= 2 AND c.network_bytes >= 40000)"""
     return a.sql(_alert_select(
-        d.CORRELATION_RULE, "pairs", event_timestamp=_iso("flow_at"), window_start=_iso("alert_at"), window_end=_iso("flow_at"),
+        _CORRELATION, "pairs", event_timestamp=_iso("flow_at"), window_start=_iso("alert_at"), window_end=_iso("flow_at"),
         event_severity="CASE WHEN sev <= 1 AND bytes >= 80000 THEN 1 ELSE 2 END", source_ip="source_ip",
         destination_ip="destination_ip", destination_port="destination_port", network_bytes="bytes",
         alert_reason="'Critical Snort alert was followed by unusual Zeek traffic from the same source IP.'",
@@ -222,7 +232,7 @@ def _anomaly_sql() -> str:
       WHEN 'ssh_unexpected_port' THEN 'SSH-like traffic appeared on a non-standard destination port.'
       ELSE 'HTTP service was paired with UDP transport.' END"""
     return a.sql(_alert_select(
-        d.ANOMALY_RULE, "odd WHERE odd_kind IS NOT NULL", event_timestamp=_iso("event_time"),
+        _ANOMALY, "odd WHERE odd_kind IS NOT NULL", event_timestamp=_iso("event_time"),
         window_start=_iso("event_time"), window_end=_iso("event_time"),
         event_severity="CASE WHEN odd_kind = 'unknown_service_high_bytes' THEN 2 ELSE 3 END", source_ip="source_ip",
         destination_ip="destination_ip", destination_port="destination_port", network_bytes="network_bytes",
@@ -305,18 +315,17 @@ ORACLES: dict[str, str] = {
       WHERE event_type || '_unexpected_port' NOT IN (SELECT odd_kind FROM odd WHERE odd_kind IS NOT NULL)""", _ODD),
     "alerts_per_rule": a.sql(
         "SELECT 'flink.' || rule AS rule_id, n AS alert_count FROM fired WHERE n > 0", _ODD, _RULE_COUNTS),
-    "alert_latency": a.sql(f"""
-      SELECT b.source_ip, round(epoch_us(b.ws + INTERVAL 1 DAY) / 1000.0 - epoch_us(l.seen) / 1000.0, 3) AS latency_ms
-      FROM (SELECT ws, source_ip FROM ({_hop('ids', 'event_severity <= 2')}) GROUP BY ALL HAVING count(*) >= 2) b
-      JOIN (SELECT source_ip, max(event_time) AS seen FROM conn GROUP BY 1) l ON b.source_ip = l.source_ip"""),
+    "alert_latency": a.sql("""
+      SELECT i.source_ip, i.event_id, (epoch_us(i.written_at) - epoch_us(c.event_time)) / 1000.0 AS latency_ms
+      FROM (SELECT *, event_time + to_hours(k) AS written_at FROM ids) i
+      ASOF JOIN conn c ON i.source_ip = c.source_ip AND i.written_at >= c.event_time
+      WHERE i.written_at - c.event_time <= INTERVAL 2 DAY"""),
 }
 
 
 def _recent_sql() -> str:
-    names = [r.name for r in d.ALL_RULES]
     selects = [_port_scan_sql(), _top_talkers_sql(), _exfiltration_sql(), _alert_burst_sql(), _correlation_sql(), _anomaly_sql()]
     parts = " UNION ALL ".join(f"SELECT * FROM ({s})" for s in selects)
-    assert len(names) == len(selects)
     return (f"SELECT event_timestamp, rule_name, event_severity, source_ip, destination_ip, pipeline, message FROM ({parts}) "
             "ORDER BY event_timestamp DESC, rule_name, source_ip NULLS FIRST, destination_ip NULLS FIRST, message LIMIT 50")
 

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.functions import text as t
 from sentrylake.operators import aggregates as g
 from sentrylake.operators import filters as f
 from sentrylake.operators import search as s
@@ -113,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "search_facet_top_destination_ports": _showcase("search_facet_top_destination_ports", serving=True),
     "autocomplete_whole_text": _showcase("autocomplete_latest_hits", "sql"),
     "trigram_latest_hits": _showcase("fuzzy_latest_hits", "sql"),
+    "search_timeline_newest": _showcase("search_timeline_histogram", "sql"),
     # Filters and listings
     "filter_eq_rows": _on_corpus(lambda df: f.eq_filter(df, "source_ip", SOURCE).select("event_id", "message")),
     "filter_isin": _on_corpus(lambda df: f.isin_filter(df, "rule_id", ["1:7:1", "1:8:1", "1:9:1"]).select("event_id", "rule_id")),
@@ -144,6 +144,7 @@ QUERIES: dict[str, Query] = {
 }
 
 # ---------------------------------------------------------------------------------------------- SQL for the check
+TYPED, MISTYPED = "ssl tcp con", "ssl tcp connectio"  # what a user has typed of QUERY, and QUERY with a typing error
 _RANGE = f"event_time BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
 _TOKEN = r"'[\p{L}\p{N}_]+(?:[.''][\p{L}\p{N}_]+)*'"
 _NEWEST = "ORDER BY event_time DESC, event_id LIMIT"
@@ -165,15 +166,18 @@ def _prefix(column: str, query: str) -> str:
 
 
 def _fuzzy(column: str, query: str) -> str:
-    tests = [f"(x[1] = '{q[0]}' AND damerau_levenshtein(x, '{q}') <= {t.allowed_edits(q)})" for q in query.lower().split()]
+    # Edits allowed by length: none up to two characters, one up to five, else two.
+    allowed = "CASE WHEN length('{0}') <= 2 THEN 0 WHEN length('{0}') <= 5 THEN 1 ELSE 2 END"
+    tests = [f"(x[1] = '{q[0]}' AND damerau_levenshtein(x, '{q}') <= {allowed.format(q)})" for q in query.lower().split()]
     return f"len(list_filter({_tokens(column)}, lambda x: {' OR '.join(tests)})) > 0"
 
 
 def _trigram(column: str, query: str) -> str:
-    pieces = (
-        f"list_distinct(flatten(list_transform(regexp_extract_all(lower({column}), '[\\p{{L}}\\p{{N}}]+'), "
-        "lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))")
-    wanted = "[" + ", ".join(f"'{q}'" for q in t.query_trigrams(query)) + "]"
+    def trigrams(text: str) -> str:
+        return (f"list_distinct(flatten(list_transform(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+'), "
+                "lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))")
+
+    pieces, wanted = trigrams(column), trigrams(f"'{query}'")
     shared = f"len(list_intersect({pieces}, {wanted}))"
     return f"({shared} / (len({pieces}) + len({wanted}) - {shared}))"
 
@@ -251,16 +255,17 @@ ORACLES: dict[str, str] = {
     "timeline_newest": _minutes("TRUE", "LIMIT 120"),
     "message_search": _latest(f"{_RANGE} AND {_all('message', QUERY)}"),
     "multi_field_latest_hits": _latest(_FOUND),
-    "autocomplete_latest_hits": _latest(f"{_RANGE} AND {_prefix('message', t.prefix_term(QUERY))}"),
-    "autocomplete_whole_text": _latest(f"{_RANGE} AND starts_with(lower(message), '{t.prefix_term(QUERY)}')"),
-    "fuzzy_latest_hits": _latest(f"{_RANGE} AND {_fuzzy('message', t.fuzzy_term(QUERY))}"),
+    "autocomplete_latest_hits": _latest(f"{_RANGE} AND {_prefix('message', TYPED)}"),
+    "autocomplete_whole_text": _latest(f"{_RANGE} AND starts_with(lower(message), '{TYPED}')"),
+    "fuzzy_latest_hits": _latest(f"{_RANGE} AND {_fuzzy('message', MISTYPED)}"),
     "trigram_latest_hits": a.sql(f"""
       SELECT event_id, event_timestamp, round(similarity, 6) AS similarity
-      FROM (SELECT *, {_trigram('message', t.fuzzy_term(QUERY))} AS similarity FROM corpus WHERE {_RANGE})
+      FROM (SELECT *, {_trigram('message', MISTYPED)} AS similarity FROM corpus WHERE {_RANGE})
       WHERE similarity >= 0.3 ORDER BY similarity DESC, event_time DESC, event_id LIMIT 25"""),
     "search_facet_top_destination_ports": _top("destination_port", f"corpus WHERE {_FOUND}"),
     "search_facet_top_source_ips": _top("source_ip", f"corpus WHERE {_FOUND}"),
-    "search_timeline_histogram": _minutes(_FOUND, "LIMIT 120"),
+    "search_timeline_histogram": _minutes(_FOUND),
+    "search_timeline_newest": _minutes(_FOUND, "LIMIT 120"),
     "match_all_documents": _docs(_all("text", DOC_QUERY)),
     "match_all_conversations": f"SELECT conv_id, turn FROM conversations WHERE {_all('role || chr(32) || text', 'user la')}",
     "prefix_any_documents": _docs(_prefix("text", DOC_PREFIX)),
