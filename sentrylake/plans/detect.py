@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from sentrylake.operators.search import recent_alerts
 from sentrylake.plans import adapter as a
 from sentrylake.schemas import ALERT_FIELDS, flat_name
 from sentrylake.session import shared_dir
-from sentrylake.streaming.run import drain
+from sentrylake.streaming.run import drain, run_rules
 
 # The table holds few events per user and hour, so windows span hours and days instead of minutes.
 RULES = d.RuleSet(
@@ -47,6 +48,18 @@ def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.all_alerts(a.conns(spark, sf_dir), a.ids(spark, sf_dir), RULES)
 
 
+def _all_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One streaming query per rule, started together, each with its own checkpoint; alerts by rule."""
+    delay = f"{DELAY_SECONDS} seconds"
+    folder = shared_dir(spark, "all-rules")
+    outputs = d.rule_outputs(a.conn_stream(spark, sf_dir, delay), a.ids_stream(spark, sf_dir, delay), RULES)
+    for query in run_rules(outputs, f"{folder}/out", f"{folder}/checkpoint").values():
+        query.awaitTermination()
+    counts = [spark.read.schema(alerts.schema).parquet(f"{folder}/out/rule={name}").groupBy("rule_name").count()
+              for name, alerts in outputs.items()]
+    return reduce(DataFrame.unionByName, counts).withColumnRenamed("count", "alert_count")
+
+
 def _interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = a.ids(spark, sf_dir).select("source_ip", F.col("event_time").alias("t"), F.col("event_id").alias("alert_id"))
     right = a.conns(spark, sf_dir).select("source_ip", F.col("event_time").alias("u"), F.col("event_id"))
@@ -284,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evidence_for": _evidence,
     "missing_rules": _missing_rules,
     "alerts_per_rule": _alerts_per_rule,
+    "stream_all_rules": _all_streams,
     "recent_alerts": _recent_alerts,
     "alert_latency": _alert_latency,
 }
@@ -331,3 +345,5 @@ def _recent_sql() -> str:
 
 
 ORACLES["recent_alerts"] = _recent_sql()
+ORACLES["stream_all_rules"] = "SELECT rule_name, count(*) AS alert_count FROM (" + " UNION ALL ".join(
+    f"SELECT rule_name FROM ({ORACLES[name]})" for name in ORACLES if name.startswith("stream_")) + ") GROUP BY 1"

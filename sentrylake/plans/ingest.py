@@ -13,7 +13,7 @@ from sentrylake.operators.joins import count_delta
 from sentrylake.plans import adapter as a
 from sentrylake.plans.detect import ORACLES as RULE_SQL
 from sentrylake.plans.detect import RULES
-from sentrylake.schemas import ALERT_FIELDS, CONN_FIELDS, CONN_SCHEMA, dotted_schema, flat_name, to_dotted, to_flat, union_events
+from sentrylake.schemas import ALERT_FIELDS, CONN_FIELDS, CONN_SCHEMA, IDS_FIELDS, dotted_schema, flat_name, to_dotted, to_flat, union_events
 from sentrylake.session import shared_dir
 from sentrylake.sinks.documents import (
     conn_key, document, ids_key, to_serving, with_event_key, write_alerts, write_by, write_results)
@@ -21,7 +21,7 @@ from sentrylake.sinks.lake import overwrite_run, upsert, write_lake
 from sentrylake.sources.conn_log import read_conn_log
 from sentrylake.sources.ids_blocks import read_ids_blocks
 from sentrylake.sources.lake import lake_files, lake_snapshots, read_lake
-from sentrylake.sources.streams import decode_json, read_conn_stream, read_events_jsonl, split_quarantine
+from sentrylake.sources.streams import read_conn_stream, read_events_jsonl, read_ids_stream, split_quarantine
 from sentrylake.streaming.run import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +128,46 @@ def _stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.iso_text(drain(rows, f"{folder}/out", f"{folder}/checkpoint"), "event_timestamp")
 
 
+def _stream_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intrusion-alert documents through their stream reader."""
+    i = a.ids(spark, sf_dir)
+    doc = document(i.select([n for n in map(flat_name, IDS_FIELDS) if n in i.columns])).alias("value")
+    path = a.derived(spark, sf_dir, "ids-documents", lambda p: i.select(doc).write.text(p))
+    stream = read_ids_stream(spark, {"path": path}, watermark=None)
+    folder = shared_dir(spark, "ids-stream")
+    rows = stream.select("event_timestamp", "rule_id", "event_severity", "source_ip", "destination_port")
+    return a.iso_text(drain(rows, f"{folder}/out", f"{folder}/checkpoint"), "event_timestamp")
+
+
+def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is stopped, gets more documents and goes on from its checkpoint."""
+    folder, c = shared_dir(spark, "restart"), a.conns(spark, sf_dir)
+    doc = document(c.select([n for n in map(flat_name, CONN_FIELDS) if n in c.columns])).alias("value")
+    found = None
+    for part in ("k < 40", "k >= 40"):
+        c.where(part).select(doc).write.mode("append").text(f"{folder}/in")
+        stream = read_conn_stream(spark, {"path": f"{folder}/in"}, watermark=None)
+        found = drain(stream.select("event_timestamp", "zeek_conn_uid"), f"{folder}/out", f"{folder}/checkpoint")
+    return a.iso_text(found, "event_timestamp")
+
+
+def _ids_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert blocks of the files that match a pattern, each with its file; other files in the folder are left alone."""
+    blocks, i = shared_dir(spark, "glob"), a.ids(spark, sf_dir)
+    i.select(F.format_string("[**] [%s] event %d [**]\n%s %s:1 -> %s:2\nTCP TTL:1 TOS:0x0 ID:1 IpLen:20 DgmLen:60\n", "rule_id", "event_id",
+                             F.date_format("event_timestamp", "MM/dd-HH:mm:ss.SSSSSS"), "source_ip", "destination_ip")).write.text(blocks)
+    a.table(spark, sf_dir, "region").select("r_name").write.mode("append").csv(blocks)
+    events, _ = read_ids_blocks(spark, blocks, year=2024, glob="*.txt")
+    return events.select("rule_name", F.col("log_file_path").rlike(r"/part-.*\.txt$").alias("from_text_file"))
+
+
+def _ingest_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many events a limited ingest takes from either log."""
+    conns, _ = read_conn_log(spark, _conn_lines(spark, sf_dir), limit=100)
+    ids, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024, limit=10)
+    return conns.agg(F.count("*").alias("conn_count")).join(ids.agg(F.count("*").alias("ids_count")), F.lit(True))
+
+
 def _lake(spark: SparkSession, sf_dir: str) -> str:
     path = shared_dir(spark, "lake")
     write_lake(union_events(a.conns(spark, sf_dir), a.ids(spark, sf_dir)), path)
@@ -240,6 +280,10 @@ QUERIES: dict[str, Query] = {
     "decode_json": _decode_json,
     "json_quarantine": _json_quarantine,
     "stream_archive_scan": _stream_scan,
+    "stream_ids": _stream_ids,
+    "stream_restart": _stream_restart,
+    "ids_provenance": _ids_provenance,
+    "ingest_limit": _ingest_limit,
     "lake_counts": _lake_counts,
     "stream_lake": _stream_lake,
     "lake_files": _lake_files,
@@ -287,6 +331,11 @@ ORACLES: dict[str, str] = {
         'unreadable document' AS reason, true AS from_file, true AS dated FROM conn WHERE k = 13
       UNION ALL SELECT '{{"source.ip":"' || source_ip || '"}}', 'no event_timestamp', true, true FROM conn WHERE k = 15"""),
     "stream_archive_scan": a.sql(f"SELECT {_STAMP} AS event_timestamp, zeek_conn_uid, network_bytes FROM conn WHERE k <> 13"),
+    "stream_ids": a.sql(f"SELECT {_STAMP} AS event_timestamp, rule_id, event_severity, source_ip, destination_port FROM ids"),
+    "stream_restart": a.sql(f"SELECT {_STAMP} AS event_timestamp, zeek_conn_uid FROM conn"),
+    "ids_provenance": a.sql("SELECT 'event ' || event_id AS rule_name, true AS from_text_file FROM ids"),
+    "ingest_limit": a.sql("""
+      SELECT (SELECT least(100, count(*)) FROM conn WHERE k <> 13) AS conn_count, (SELECT least(10, count(*)) FROM ids) AS ids_count"""),
     "lake_counts": _LAKE_COUNTS,
     "stream_lake": _LAKE_COUNTS,
     "lake_files": a.sql("SELECT 'PARQUET' AS file_format, strftime(d, '%Y-%m-%d') AS event_date, count(*) AS record_count "

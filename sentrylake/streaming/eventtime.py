@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +17,21 @@ def with_event_time(df: DataFrame, time_col: str = "event_timestamp", delay: str
     return df.withColumn("event_time", F.col(time_col).cast("timestamp")).withWatermark("event_time", delay)
 
 
-def set_watermark_policy(spark: SparkSession, policy: str = "min") -> None:
-    """How a query with several inputs advances time: with its slowest input (``min``) or its fastest (``max``).
+@contextmanager
+def watermark_policy(spark: SparkSession, policy: str | None) -> Iterator[None]:
+    """How queries with several inputs that start in this block advance time: with their slowest input (``min``) or their
+    fastest (``max``).
 
-    ``max`` keeps a silent input from holding back windows, at the price of dropping its rows if it is only late.
+    ``max`` keeps a silent input from holding back windows, at the price of dropping its rows if it is only late. A query
+    keeps its policy when it restarts from its checkpoint.
     """
-    if policy not in ("min", "max"):
+    if policy not in (None, "min", "max"):
         raise ValueError(policy)
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(name)
+    if policy:
+        spark.conf.set(name, policy)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

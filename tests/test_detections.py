@@ -184,3 +184,16 @@ def test_stream_correlation_follows_all_rows(spark, tmp_path, salt):
     last = run()[-1]
     assert last["eventTime"]["watermark"] == "2031-09-04T07:44:30.000Z"
     assert last["stateOperators"][0]["numRowsTotal"] == 0
+
+
+@pytest.mark.parametrize(("policy", "watermark"), [("min", "07:29:30"), ("max", "07:49:30"), (None, "07:29:30")])
+def test_watermark_policy_of_a_query(spark, tmp_path, policy, watermark):
+    flows = write_lines(tmp_path / "conn", [conn("07:30:00", "10.0.0.1", "10.0.0.2", 80, 1, 1)])
+    alerts = write_lines(tmp_path / "ids", [ids("07:50:00", "10.0.0.1", "10.0.0.2", 80, 1, "r")])
+    found = d.detect_correlation(read_ids_stream(spark, {"path": alerts}), read_conn_stream(spark, {"path": flows}))
+    query = start_query(found, str(tmp_path / "out"), str(tmp_path / "ckpt"), watermark_policy=policy)
+    query.awaitTermination()
+    assert query.recentProgress[-1]["eventTime"]["watermark"] == f"2031-09-04T{watermark}.000Z"
+    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "min"
+    with pytest.raises(ValueError):
+        start_query(found, str(tmp_path / "o"), str(tmp_path / "c"), watermark_policy="middle")

@@ -251,3 +251,12 @@ def test_suites(spark, dialect):
         assert found["fuzzy_latest_hits"] >= 2
     other = SuiteParams("else", p.start, p.mid, p.end, p.dataset, p.source_ip, p.destination_ip)
     assert baseline_suite(flat, flat, other)["message_search"]().isEmpty()
+
+
+def test_internal_flags(spark):
+    from sentrylake.functions.net import with_internal_flags
+
+    rows = spark.createDataFrame([("10.0.0.1", "172.25.1.1"), ("172.32.0.1", None), ("192.168.1.1", "8.8.8.8")],
+                                 "source_ip string, destination_ip string")
+    assert [(r.source_is_internal, r.destination_is_internal) for r in with_internal_flags(rows).collect()] == [
+        (True, True), (False, None), (True, False)]
