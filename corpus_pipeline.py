@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.llm import mixing, packing, secrets, simhash, toxicity
-from sentrylake.llm.common import cut, table
+from sentrylake.llm.common import cut, reachable, table
 
 
 def _with_text(docs: DataFrame, text) -> DataFrame:
@@ -38,6 +38,7 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class: the smallest id, rows without an id last. Of repeated rows one stays."""
+    reachable(spark)
     named = _named(docs)
     found = simhash.near_duplicates(named, id_column="key")
     counts = found.groupBy("key", "component_id").agg(F.count("*").alias("n"))
@@ -66,6 +67,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places every piece of every document in a sequence of 1024 tokens."""
+    reachable(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

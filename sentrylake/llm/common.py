@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,18 @@ from sentrylake.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine, or where it is installed alike, import this package from its folder.
+
+    On a cluster without that, submit the package with ``--py-files``.
+    """
+    folder, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if folder not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [folder, known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -50,7 +50,7 @@ class Model:
     """``stems``: insult stem -> weight; a key that ends in a blank is a whole word. ``weights``: bias first."""
 
     stems: dict[str, float] = field(default_factory=dict)
-    weights: tuple[float, ...] = (-2.0, 1.0, 1.2, 0.2, 0.3, 1.0, 1.2, 0.2, 0.3, 0.0, 0.0, 0.0)
+    weights: tuple[float, ...] = (-1.5, 1.0, 1.2, 0.2, 0.3, 1.0, 1.2, 0.2, 0.3, 0.0, 0.0, 0.0)
 
 
 def lexicon_class(token: bytes, model: Model, words: dict[str, str]) -> tuple[int, float, bool] | None:
@@ -86,9 +86,13 @@ class Reader:
         return found
 
     def features(self, raw: bytes | None) -> list[float]:
-        """Sum of the weights by kind of match, then the largest clause, the number of clauses hit, and the log of hits."""
+        """Sum of the weights by kind of match, then the largest clause, the number of clauses hit, and the log of hits.
+
+        A token that comes again with the same kind of match counts once: junk that repeats a word says no more.
+        """
         out, known = [0.0] * N_FEATURES, self.known
         state, last, clause, largest, clauses, hits = 0, -1, 0.0, 0.0, 0, 0
+        counted: set[tuple[bytes, int]] = set()
         word, end, insult, threat = (_CLASS[c] for c in (WORD, END, INSULT, THREAT))
         for at, token in enumerate(raw.replace(b"\n", b" ; ").split() if raw else ()):
             meaning = known[token] if token in known else self._meaning(token)
@@ -100,7 +104,8 @@ class Reader:
             last = at
             match = _KIND[state][kind]
             state = _NEXT[state][kind]
-            if match >= 0:
+            if match >= 0 and (token, match) not in counted:
+                counted.add((token, match))
                 out[match] += weight if kind in (insult, threat) else FIXED_WEIGHT
                 if kind in (insult, threat):
                     hits += 1
@@ -167,11 +172,12 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, positives: int,
     return joined.select("text", "label", "weight", (F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("half"))
 
 
-def learn_stems(rows: DataFrame, least: int = 3, least_weight: float = 2.5, most: int = 20_000) -> dict[str, float]:
+def learn_stems(rows: DataFrame, least: int = 3, least_share: float = 0.002, least_weight: float = 2.5,
+                most: int = 20_000) -> dict[str, float]:
     """Stems of labelled texts (text, label) with the log-odds of toxic against other distinct texts that hold them.
 
-    A stem is in at least ``least`` distinct toxic texts; at most ``most`` stems, the widest spread first. A longer stem
-    stays only if it says more than the shorter one it begins with.
+    A stem is in at least ``least`` distinct toxic texts and in the share ``least_share`` of them; at most ``most`` stems,
+    the widest spread first. A longer stem stays only if it says more than the shorter one it begins with.
     """
     texts = rows.groupBy("text").agg(F.max("label").alias("label"))
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"))
@@ -184,7 +190,8 @@ def learn_stems(rows: DataFrame, least: int = 3, least_weight: float = 2.5, most
     if not total.toxic or not total.other:
         return {}
     odds = F.log((F.col("toxic") + 0.1) / (total.toxic + 1.0)) - F.log((F.col("other") + 0.5) / (total.other + 1.0))
-    best = counts.where(F.col("toxic") >= least).withColumn("weight", odds).where(F.col("weight") >= least_weight)
+    best = counts.where(F.col("toxic") >= max(least, total.toxic * least_share))
+    best = best.withColumn("weight", odds).where(F.col("weight") >= least_weight)
     best = best.orderBy(F.desc(F.col("weight") * F.col("toxic")), "stem").limit(most)
     found = {r.stem: round(r.weight, 6) for r in best.collect()}
     kept: dict[str, float] = {}
