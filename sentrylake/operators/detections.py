@@ -234,8 +234,10 @@ def detect_exfiltration(
 
 def repeated_list(pairs: Column, value: str, times: str) -> Column:
     """Sorted (value, times) structs written out as a comma list with every repetition; NULL if there are none."""
-    written = F.array_join(F.flatten(F.transform(pairs, lambda p: F.array_repeat(p[value], p[times].cast("int")))), ",")
-    return F.when(F.size(pairs) > 0, written)
+    # Each value is repeated as text; the list is as long as the alerts are many, but no array of that length is made.
+    runs = F.transform(pairs, lambda p: F.repeat(F.concat(p[value], F.lit(",")), p[times].cast("int")))
+    written = F.array_join(runs, "")
+    return F.when(F.size(pairs) > 0, F.left(written, F.length(written) - 1))
 
 
 def detect_alert_burst(

@@ -48,10 +48,13 @@ def write_alerts(
     alerts: DataFrame, path: str, checkpoint: str | None = None, options: dict[str, str] | None = None,
     trigger: str = "available",
 ) -> StreamingQuery | None:
-    """Alerts as JSON documents: to a bus if ``options`` name one (``{"format": "kafka", ...}``), else to files."""
+    """Alerts as JSON documents: to a bus if ``options`` name one (``{"format": "kafka", ...}``), else to files.
+
+    On a bus alerts are keyed by rule and addresses, so that the few rules do not fill as few partitions.
+    """
     options = dict(options or {})
     kind = options.pop("format", "json")
-    rows = with_event_key(alerts, F.col("rule_id")) if kind == "kafka" else to_dotted(alerts)
+    rows = with_event_key(alerts, F.concat_ws("|", "rule_id", "source_ip", "destination_ip")) if kind == "kafka" else to_dotted(alerts)
     if not alerts.isStreaming:
         writer = rows.write.format(kind).options(**options)
         writer.save() if kind == "kafka" else writer.mode("append").save(path)
