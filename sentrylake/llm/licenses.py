@@ -108,11 +108,13 @@ def prepare(templates: list[tuple[str, str]], containment: float, miss: float, s
 class Scanner:
     def __init__(self, templates: Templates, containment: float):
         self.templates, self.containment, self.shingler = templates, containment, Shingler()
-        self.keys: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.every = np.unique(np.concatenate([*templates.shingles, np.zeros(0, np.uint64)]))
+        # Per size: sorted minima of all bands, and whose they are. A value of another band would only be one more candidate.
+        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size, own in templates.sizes.items():
-            minima = np.stack([templates.minima(templates.shingles[t]).min(axis=1) for t in own], axis=1)
-            order = np.argsort(minima, axis=1)
-            self.keys[size] = [(row[o], np.array(own)[o]) for row, o in zip(minima, order, strict=True)]
+            minima = np.concatenate([templates.minima(templates.shingles[t]).min(axis=1) for t in own])
+            order = np.argsort(minima)
+            self.keys[size] = minima[order], np.repeat(own, templates.bands)[order]
 
     def candidates(self, hashes: np.ndarray, size: int) -> set[tuple[int, int, int]]:
         """(first shingle, end, template) of the windows that share a minimum with a template in some band."""
@@ -124,20 +126,23 @@ class Scanner:
         windows = least.copy()
         for i in range(1, min(-(-length // step), least.shape[1])):
             np.minimum(windows[:, :-i], least[:, i:], out=windows[:, :-i])
+        keys, numbers = self.keys[size]
+        flat = windows.ravel()
+        lo = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
+        hit = np.flatnonzero(keys[lo] == flat)
+        hi = np.searchsorted(keys, flat[hit], side="right")
         found = set()
-        for band, (keys, numbers) in enumerate(self.keys[size]):
-            lo = np.searchsorted(keys, windows[band], side="left")
-            hi = np.searchsorted(keys, windows[band], side="right")
-            for at in np.flatnonzero(hi > lo).tolist():
-                start = int(edges[at])
-                end = min(n, start + -(-length // step) * step)
-                found.update((start, end, int(t)) for t in numbers[lo[at]:hi[at]])
+        for at, a, b in zip((hit % windows.shape[1]).tolist(), lo[hit].tolist(), hi.tolist(), strict=True):
+            start = int(edges[at])
+            found.update((start, min(n, start + -(-length // step) * step), int(t)) for t in numbers[a:b])
         return found
 
     def scan(self, raw: bytes | None) -> list[tuple[int, int, int, float]]:
         """(template, first token, end token, containment) of each passage; overlapping windows of a template make one."""
         shingles, places = self.shingler.shingles(raw)
-        if not len(shingles):
+        # A window has a template's minimum only if it holds that shingle: a text without any shingle of theirs is done.
+        near = np.minimum(np.searchsorted(self.every, shingles), len(self.every) - 1)
+        if not len(shingles) or not len(self.every) or not (self.every[near] == shingles).any():
             return []
         hashes = self.templates.minima(shingles)
         hits: dict[int, list[tuple[int, int, float]]] = {}
