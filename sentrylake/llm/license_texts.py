@@ -34,9 +34,51 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
                 "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0 terms."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                          "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                          "(at your option) any later version."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0-or-later", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                          "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                          "(at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                          "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+                          "(at your option) any later version."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                     "following conditions are met: Redistributions of source code must retain the above copyright notice, this list "
+                     "of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+                     "notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+                     "provided with the distribution."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+                "is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-1.0", "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse "
+                "Public License v1.0 which accompanies this distribution, and is available at "
+                "http://www.eclipse.org/legal/epl-v10.html"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License 2.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+             "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+             "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+             "restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+             "software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated "
+             "but is not required. Altered source versions must be plainly marked as such, and must not be misrepresented as being "
+             "the original software. This notice may not be removed or altered from any source distribution."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, "
+                "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+                "Software is furnished to do so, all subject to the following:"),
 ]

@@ -167,13 +167,26 @@ class Scanner:
         return sorted(found, key=lambda f: (f[1], f[2], f[0]))
 
 
+def best_of(found: list[tuple[int, int, int, float]]) -> list[int]:
+    """For each passage the template, of those whose passages overlap it, that matches best; of equals the longer passage.
+
+    Overlap is not handed on: a passage between two others does not make them one.
+    """
+    best = []
+    for number, a, b, share in found:
+        over = [(s, y - x, -n) for n, x, y, s in found if x < b and a < y]
+        best.append(-max(over)[2])
+    return best
+
+
 def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   templates: list[tuple[str, str]] = TEMPLATES, containment: float = 0.8, miss: float = 1e-6) -> DataFrame:
-    """One row (id, license, template, start, end, containment) for each license passage found in whole texts.
+    """One row (id, license, template, start, end, containment, best_license) for each template passage in whole texts.
 
     ``templates`` are (license, text), known to all tasks; ``template`` is their number. ``start`` and ``end`` count
     words split at white space, end exclusive; ``containment`` is the largest share of the template's shingles in one
-    window. Case and marks at the edges of words do not matter. Null, empty and word-less texts give no row, nor do
+    window. ``best_license`` is the license of the best-matching of the templates whose passages overlap this one: related
+    notices match more than one template, and this is the license to report. Case and marks at the edges of words do not matter. Null, empty and word-less texts give no row, nor do
     templates without words; repeated rows give their rows each; an empty table gives none. Other columns are not read.
     """
     prepared = prepare(templates, containment, miss)
@@ -181,14 +194,16 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(prepared, containment)
         for batch in batches:
-            rows = [(at, *hit) for at, raw in enumerate(raw_texts(batch.column(1))) for hit in scanner.scan(raw)]
-            at, number, start, end, share = zip(*rows, strict=True) if rows else ((),) * 5
+            rows = [(at, *hit, best) for at, raw in enumerate(raw_texts(batch.column(1)))
+                    for found in [scanner.scan(raw)] for hit, best in zip(found, best_of(found), strict=True)]
+            at, number, start, end, share, best = zip(*rows, strict=True) if rows else ((),) * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, pa.int64())), pa.array([prepared.names[n] for n in number], pa.string()),
-                 pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(share, pa.float64())],
-                [id_column, "license", "template", "start", "end", "containment"])
+                 pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(share, pa.float64()),
+                 pa.array([prepared.names[n] for n in best], pa.string())],
+                [id_column, "license", "template", "start", "end", "containment", "best_license"])
 
     rows = docs.select(F.col(id_column), F.col(text_column).cast("string").alias("_text"))
     kind = rows.schema[id_column].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"`{id_column}` {kind}, license string, template int, start long, end long, containment double")
+        run, f"`{id_column}` {kind}, license string, template int, start long, end long, containment double, best_license string")

@@ -95,3 +95,16 @@ def test_empty_table_and_query(spark):
     want = {(r.doc_id, n) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() for n in plain_hits(r.text, TEMPLATES)}
     got = {(r.doc_id, r.template) for r in op6_license_scans(spark, sf_dir).collect()}
     assert got == want and len(want) > 2
+
+
+def test_usual_licenses_and_the_best_of_related_ones(spark):
+    bsd3, agpl, lgpl = (dict(TEMPLATES)[x] for x in ("BSD-3-Clause", "AGPL-3.0-or-later", "LGPL-2.1-or-later"))
+    bsd2 = bsd3[:bsd3.index(" Neither the name")]
+    texts = {"BSD-2-Clause": bsd2, "BSD-3-Clause": bsd3, "AGPL-3.0-or-later": agpl, "LGPL-2.1-or-later": lgpl,
+             "GPL-3.0-or-later": dict(TEMPLATES)["GPL-3.0-or-later"], "GPL-2.0-or-later": dict(TEMPLATES)["GPL-2.0-or-later"],
+             "CC-BY-4.0": "This work is licensed under CC BY 4.0.", "CC-BY-NC-SA-4.0": "Text licensed under CC BY-NC-SA 4.0, all of it.",
+             "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0", "EPL-2.0": "It is licensed under the Eclipse Public License 2.0 now",
+             "Zlib": dict(TEMPLATES)["Zlib"], "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See"}
+    rows = licenses.scan_licenses(spark.createDataFrame([(k, f"so it is {v} and so on") for k, v in texts.items()],
+                                                        "doc_id string, text string")).collect()
+    assert {k: {r.best_license for r in rows if r.doc_id == k} for k in texts} == {k: {k} for k in texts}
