@@ -134,7 +134,7 @@ def log_ratio(value: Column, model: dict[str, float]) -> Column:
         lambda acc: acc["sum"])
 
 
-def scan(docs: DataFrame, text_column: str = "text", model: dict[str, float] | None = None, min_length: int = 20,
+def scan(docs: DataFrame, text_column: str = "text", model: dict[str, float] | None = None, min_length: int = 12,
          prior: float = 1e-4, out: str = "secrets") -> DataFrame:
     """Adds the struct column ``out`` (replaced if it exists) with all secrets of each text.
 

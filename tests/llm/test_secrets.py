@@ -98,3 +98,15 @@ def test_empty_table_and_query(spark):
         joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert r.spans == joined
+
+
+def test_short_keys_are_scored(spark, model):
+    rng = random.Random(9)
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=16)) for _ in range(100)]
+    keys = [k for k in keys if re.search("[0-9]", k)]
+    docs = spark.createDataFrame([(k, f"see {k} here") for k in keys], "doc_id string, text string")
+    found = {r.doc_id for r in secrets.scan(docs, model=model).where("size(secrets.spans) > 0").collect()}
+    assert len(found) > 0.9 * len(keys)
+    plain = ["see configuration2024 of understandable", "in http2_server_1 and version_2_0_1", "1234-5678-9012", "chapter-12-part"]
+    frame = spark.createDataFrame([(t,) for t in plain], "text string")
+    assert [r.text for r in secrets.scan(frame, model=model).where("size(secrets.spans) > 0").collect()] == []
