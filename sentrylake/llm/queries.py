@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrylake.llm import forest, licenses, lm_scoring, mixing, packing, repeats, secrets, simhash, toxicity, vector_dedup
+from sentrylake.llm import (
+    forest, licenses, lm_scoring, mixing, packing, periodic_runs, repeats, secrets, simhash, spelling, toxicity, url_filters,
+    vector_dedup)
 from sentrylake.llm.common import fold, table
 
 
@@ -66,6 +68,27 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), change=spelling.with_dropped_letters)
+    return spelling.spelling_variants(words.where("n >= 5"), ratio=5)
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_filters.rule_table(spark, url_filters.RULES)
+    return url_filters.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeated_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    written = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(written, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 # Each operator's query, by number.
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
@@ -78,5 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_url_filters": op12_url_filters,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_url_filters": url_filters.oracle_sql(url_filters.RULES)}
