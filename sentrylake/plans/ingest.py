@@ -82,7 +82,7 @@ def _ids_blocks(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _parse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024)
+    events, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024, newline="\n")
     good, _ = split_quarantine(events)
     return a.flat_arrays(a.iso_text(good.select(
         "event_timestamp", "rule_id", "rule_name", "rule_category", "event_severity", "source_ip", "source_port",
@@ -90,8 +90,18 @@ def _parse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         "snort_tcp_len", "snort_xref", "related_ip"), "event_timestamp"))
 
 
+def _parse_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same blocks with carriage returns, parted by lines that hold blanks, read in splits that cut through blocks."""
+    text = spark.read.text(_ids_blocks(spark, sf_dir)).select(F.when(F.col("value") == "", " \t ").otherwise(F.col("value")).alias("value"))
+    path = a.derived(spark, sf_dir, "loose-blocks", lambda p: text.write.option("lineSep", "\r\n").text(p))
+    events, _ = read_ids_blocks(spark, path, year=2024)
+    return events.where("event_timestamp IS NOT NULL").select(
+        F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("event_timestamp"), "rule_id", "rule_name", "rule_category",
+        "source_ip", "destination_port", "snort_tcp_len", "snort_xref")
+
+
 def _ids_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024)
+    events, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024, newline="\n")
     _, bad = split_quarantine(events)
     return bad.select("rule_id", "rule_name", "event_severity")
 
@@ -164,7 +174,7 @@ def _ids_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingest_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many events a limited ingest takes from either log."""
     conns, _ = read_conn_log(spark, _conn_lines(spark, sf_dir), limit=100)
-    ids, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024, limit=10)
+    ids, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024, newline="\n", limit=10)
     return conns.agg(F.count("*").alias("conn_count")).join(ids.agg(F.count("*").alias("ids_count")), F.lit(True))
 
 
@@ -276,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "parse_conn_log": _parse_conn,
     "conn_log_rejects": _conn_rejects,
     "parse_ids_blocks": _parse_ids,
+    "parse_ids_blocks_loose": _parse_loose,
     "ids_quarantine": _ids_quarantine,
     "decode_json": _decode_json,
     "json_quarantine": _json_quarantine,
@@ -322,6 +333,11 @@ ORACLES: dict[str, str] = {
         'DF' AS snort_ip_flags, CASE WHEN network_transport = 'tcp' THEN 20 END AS snort_tcp_len,
         'url,last.example' AS snort_xref, source_ip || ',' || destination_ip AS related_ip
       FROM ids WHERE k <> 13"""),
+    "parse_ids_blocks_loose": a.sql(f"""
+      SELECT {_STAMP} AS event_timestamp, rule_id, 'event ' || event_id AS rule_name,
+        CASE WHEN k % 7 <> 0 THEN 'Misc activity' END AS rule_category, source_ip, destination_port,
+        CASE WHEN network_transport = 'tcp' THEN 20 END AS snort_tcp_len, 'url,last.example' AS snort_xref
+      FROM ids WHERE k <> 13"""),
     "ids_quarantine": a.sql("SELECT rule_id, 'event ' || event_id AS rule_name, event_severity FROM ids WHERE k = 13"),
     "decode_json": a.sql(f"""
       SELECT {_STAMP} AS event_timestamp, zeek_conn_uid, source_ip,

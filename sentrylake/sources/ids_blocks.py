@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sentrylake.functions.net import related_ips
 from sentrylake.schemas import IDS_FIELDS, flat_name
+from sentrylake.sources.line_blocks import BLANKS as _BLANKS
+from sentrylake.sources.line_blocks import read_blocks
 
 # The line formats of a block, in the order in which they may follow each other.
 RULE_LINE = r"^\[\*\*\] \[(\d+):(\d+):(\d+)\] (.+) \[\*\*\]$"
@@ -18,8 +20,7 @@ TCP_LINE = (
     r"^(\S+)\s+Seq:\s+(0x[0-9A-Fa-f]+)\s+Ack:\s+(0x[0-9A-Fa-f]+)\s+Win:\s+(0x[0-9A-Fa-f]+)\s+TcpLen:\s+(\d+)$")
 XREF_LINE = r"^\[Xref => (.+?)\]$"
 
-_BLANKS = " \t\r\n\x0b\x0c"
-_BLANK_LINES = r"\r?\n[ \t]*\r?\n"
+_BLANK_LINES = r"(?>\r\n|\n|\r)[ \t\x0b\x0c]*(?>\r\n|\n|\r)"
 
 
 def _part(line: str, pattern: str, group: int) -> Column:
@@ -42,7 +43,11 @@ def parse_ids_blocks(records: DataFrame, column: str = "value", year: int = 2012
     :func:`sentrylake.sources.streams.split_quarantine`. The log carries no year, so it is a parameter.
     """
     path = F.col("log_file_path") if "log_file_path" in records.columns else F.lit(None).cast("string")
-    blocks = records.select(path.alias("log_file_path"), F.explode(F.split(column, _BLANK_LINES)).alias("raw"))
+    return parse_blocks(records.select(path.alias("log_file_path"), F.explode(F.split(column, _BLANK_LINES)).alias("raw")), year)
+
+
+def parse_blocks(blocks: DataFrame, year: int = 2012) -> tuple[DataFrame, DataFrame]:
+    """Single blocks (``log_file_path``, ``raw``) -> (events, rejects), as :func:`parse_ids_blocks` does."""
     kept = F.filter(F.split("raw", r"\r\n|\n|\r"), lambda line: F.btrim(line, F.lit(_BLANKS)) != "")
     # Generating the lines as a row of their own makes Spark split a block once, not once per condition below.
     listed = blocks.where(F.btrim("raw", F.lit(_BLANKS)) != "").select(
@@ -104,17 +109,23 @@ def _events(placed: DataFrame, year: int) -> DataFrame:
 
 
 def read_ids_blocks(
-    spark: SparkSession, path: str, year: int = 2012, glob: str | None = None, newline: str = "\n",
+    spark: SparkSession, path: str, year: int = 2012, glob: str | None = None, newline: str | None = None,
     limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Read block logs -> (events, rejects), with the file each block came from.
 
-    A blank line ends a record, so large files are split over tasks. Give ``newline="\\r\\n"`` for logs written that
-    way: with the wrong line ending the result is the same, but a file is then one record.
+    Files are read line by line in splits, see :mod:`sentrylake.sources.line_blocks`: lines may end and blank lines may
+    look as they like. For logs whose blocks are parted by empty lines alone, ``newline`` (``"\n"`` or ``"\r\n"``) lets
+    Spark's reader cut the records, without Python in the tasks; where the separators are others the result is the same,
+    but a file may be one record.
     """
-    reader = spark.read.option("lineSep", newline * 2)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    records = reader.text(path).select("value", F.col("_metadata.file_path").alias("log_file_path"))
-    events, rejects = parse_ids_blocks(records, year=year)
+    if newline is None:
+        blocks = read_blocks(spark, path, glob).withColumnRenamed("file", "log_file_path")
+        events, rejects = parse_blocks(blocks, year)
+    else:
+        reader = spark.read.option("lineSep", newline * 2)
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        records = reader.text(path).select("value", F.col("_metadata.file_path").alias("log_file_path"))
+        events, rejects = parse_ids_blocks(records, year=year)
     return (events.limit(limit) if limit is not None else events), rejects

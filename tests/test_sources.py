@@ -120,13 +120,14 @@ def test_ids_blocks_crlf_read_with_the_wrong_line_ending(spark, tmp_path):
     check_blocks(*read_blocks(spark, tmp_path, "\r\n \r\n".join(b.replace("\n", "\r\n") for b in BLOCKS)))
 
 
-def test_ids_blocks_over_file_splits(spark, tmp_path):
-    text = "\n\n".join(FULL.replace("1:2000:3", f"1:{i}:1") for i in range(500))
-    (tmp_path / "alert.1").write_text(text)
+@pytest.mark.parametrize("newline, parted", [("\n", "\n\n"), (None, "\n\n"), (None, "\r\n \t\r\n\x0b\r\n")])
+def test_ids_blocks_over_file_splits(spark, tmp_path, newline, parted):
+    text = parted.join(FULL.replace("1:2000:3", f"1:{i}:1") for i in range(500))
+    (tmp_path / "alert.1").write_bytes(text.encode())
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1009")
     try:
-        events, rejects = read_ids_blocks(spark, str(tmp_path))
+        events, rejects = read_ids_blocks(spark, str(tmp_path), newline=newline)
         assert events.rdd.getNumPartitions() > 10
         assert events.select("rule_id").distinct().count() == events.count() == 500 and rejects.isEmpty()
     finally:
