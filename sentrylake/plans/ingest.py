@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from sentrylake.operators.aggregates import count_by, lake_counts
 from sentrylake.operators.detections import detect_protocol_anomaly
+from sentrylake.operators.filters import ip_pivot
 from sentrylake.operators.joins import count_delta
+from sentrylake.operators.search import match_all
 from sentrylake.plans import adapter as a
 from sentrylake.plans.detect import ORACLES as RULE_SQL
 from sentrylake.plans.detect import RULES
@@ -20,7 +22,7 @@ from sentrylake.sinks.documents import (
 from sentrylake.sinks.lake import overwrite_run, upsert, write_lake
 from sentrylake.sources.conn_log import read_conn_log
 from sentrylake.sources.ids_blocks import read_ids_blocks
-from sentrylake.sources.lake import lake_files, lake_snapshots, read_lake
+from sentrylake.sources.lake import lake_files, lake_snapshots, newest_first, read_lake, volume
 from sentrylake.sources.streams import read_conn_stream, read_events_jsonl, read_ids_stream, split_quarantine
 from sentrylake.streaming.run import drain
 
@@ -189,6 +191,32 @@ def _lake_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("event_date", F.col("event_date").cast("string"))
 
 
+def _lake_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by date between two times: from footers, but for the first and the last date."""
+    counts = volume(spark, _lake(spark, sf_dir), "2024-01-05 06:00:00", "2024-01-20 17:30:00")
+    return counts.withColumn("event_date", F.col("event_date").cast("string"))
+
+
+def _latest_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows of the lake, its dates read from the newest backwards."""
+    found = newest_first(spark, _lake(spark, sf_dir), 25, tie="zeek_conn_uid")
+    return a.iso_text(found.select("event_timestamp", "source_ip", "destination_port"), "event_timestamp")
+
+
+def _search_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest hits of a search that only few rows of a date pass."""
+    found = newest_first(spark, _lake(spark, sf_dir), 40, lambda df: match_all(df, ["message"], "udp ssl 8080"), "zeek_conn_uid")
+    return a.iso_text(found.select("event_timestamp", "message"), "event_timestamp")
+
+
+def _pivot_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Address pivot in a lake that is clustered by both addresses."""
+    path = shared_dir(spark, "clustered")
+    write_lake(a.corpus(spark, sf_dir), path, cluster_by=["source_ip", "destination_ip"])
+    found = ip_pivot(read_lake(spark, path), "192.168.0.8")
+    return a.iso_text(found.select("event_timestamp", "event_dataset", "source_ip", "destination_ip"), "event_timestamp")
+
+
 def _stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "stream-lake")
     rows = union_events(a.conn_stream(spark, sf_dir), a.ids_stream(spark, sf_dir))
@@ -296,6 +324,10 @@ QUERIES: dict[str, Query] = {
     "ids_provenance": _ids_provenance,
     "ingest_limit": _ingest_limit,
     "lake_counts": _lake_counts,
+    "lake_volume": _lake_volume,
+    "latest_events_by_date": _latest_by_date,
+    "message_search_by_date": _search_by_date,
+    "ip_pivot_clustered": _pivot_clustered,
     "stream_lake": _stream_lake,
     "lake_files": _lake_files,
     "lake_snapshots": _lake_snapshots,
@@ -315,6 +347,7 @@ _LAKE = """lake AS (
   UNION ALL SELECT CAST(event_time AS DATE), 'snort.alert' FROM ids)"""
 _LAKE_COUNTS = a.sql("SELECT strftime(d, '%Y-%m-%d') AS event_date, event_dataset, count(*) AS event_count FROM lake "
                      "GROUP BY 1, 2", _LAKE)
+_DATASET = "CASE WHEN event_type = 'error' THEN 'snort.alert' ELSE 'zeek.conn' END"
 _STAMP = f"strftime(event_time, {a.ISO})"
 
 ORACLES: dict[str, str] = {
@@ -353,6 +386,16 @@ ORACLES: dict[str, str] = {
     "ingest_limit": a.sql("""
       SELECT (SELECT least(100, count(*)) FROM conn WHERE k <> 13) AS conn_count, (SELECT least(10, count(*)) FROM ids) AS ids_count"""),
     "lake_counts": _LAKE_COUNTS,
+    "lake_volume": a.sql(f"""SELECT strftime(event_time, '%Y-%m-%d') AS event_date, event_dataset, count(*) AS event_count
+      FROM (SELECT event_time, 'zeek.conn' AS event_dataset FROM conn UNION ALL SELECT event_time, 'snort.alert' FROM ids)
+      WHERE event_time BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-20 17:30:00' GROUP BY 1, 2"""),
+    "latest_events_by_date": a.sql(f"""SELECT {_STAMP} AS event_timestamp, source_ip, destination_port
+      FROM (SELECT * FROM conn UNION ALL SELECT * EXCLUDE (event_severity, rule_id) FROM ids)
+      ORDER BY event_time DESC, zeek_conn_uid LIMIT 25"""),
+    "message_search_by_date": a.sql(f"""SELECT {_STAMP} AS event_timestamp, message FROM conn
+      WHERE message LIKE 'ssl udp connection %:8080' ORDER BY event_time DESC, zeek_conn_uid LIMIT 40"""),
+    "ip_pivot_clustered": a.sql(f"""SELECT {_STAMP} AS event_timestamp, {_DATASET} AS event_dataset, source_ip, destination_ip
+      FROM conn WHERE source_ip = '192.168.0.8' OR destination_ip = '192.168.0.8'"""),
     "stream_lake": _LAKE_COUNTS,
     "lake_files": a.sql("SELECT 'PARQUET' AS file_format, strftime(d, '%Y-%m-%d') AS event_date, count(*) AS record_count "
                         "FROM lake GROUP BY 2", _LAKE),

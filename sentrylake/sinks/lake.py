@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sentrylake.operators.layout import clustered
 from sentrylake.schemas import LAKE_SCHEMA, align, with_event_date
 from sentrylake.session import shared_dir
 
@@ -40,7 +41,7 @@ def spread(df: DataFrame, keys: list[str], writers: int | None = None) -> DataFr
 
 def write_lake(
     df: DataFrame, path: str, checkpoint: str | None = None, trigger: str = "available", table: str | None = None,
-    writers: int | None = None,
+    writers: int | None = None, cluster_by: list[str] | None = None,
 ) -> StreamingQuery | None:
     """Append events to the date- and dataset-partitioned table, Parquet with snappy.
 
@@ -48,8 +49,18 @@ def write_lake(
     and connection ids, so that it skips them by equality.
 
     A stream commits at every trigger and continues from ``checkpoint``. ``table`` names a catalog table to append to
-    instead of the folder.
+    instead of the folder. ``cluster_by`` (batches only) orders each partition along a space-filling curve of these columns
+    instead of time, for tables that are searched by any of them; see :mod:`sentrylake.operators.layout`.
     """
+    if cluster_by:
+        if df.isStreaming:
+            raise ValueError("a stream cannot be clustered as a whole: cluster the finished partitions")
+        rows = clustered(align(with_event_date(df), LAKE_SCHEMA), PARTITIONS, cluster_by)
+        if table:
+            rows.writeTo(table).append()
+        else:
+            rows.write.mode("append").partitionBy(*PARTITIONS).options(**FILE_OPTIONS).parquet(path)
+        return None
     rows = spread(align(with_event_date(df), LAKE_SCHEMA), PARTITIONS, writers)
     if not df.isStreaming:
         if table:
@@ -65,9 +76,15 @@ def write_lake(
     return stream.partitionBy(*PARTITIONS).format("parquet").options(**FILE_OPTIONS).option("path", path).start()
 
 
-def overwrite_run(df: DataFrame, path: str, run_col: str = "benchmark_id", sort_by: str | None = "event_timestamp") -> None:
-    """Replace the rows of the runs in ``df``; other runs stay. A file holds one stretch of time of a run, in order."""
-    if sort_by:
+def overwrite_run(
+    df: DataFrame, path: str, run_col: str = "benchmark_id", sort_by: str | None = "event_timestamp",
+    cluster_by: list[str] | None = None,
+) -> None:
+    """Replace the rows of the runs in ``df``; other runs stay. A file holds one stretch of time of a run, in order, or of
+    the space-filling order of the columns in ``cluster_by``."""
+    if cluster_by:
+        rows = clustered(df, [run_col], cluster_by)
+    elif sort_by:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = df.repartitionByRange(parts, run_col, sort_by).sortWithinPartitions(run_col, sort_by)
     else:
