@@ -3,8 +3,9 @@
 Tokens are counted in tasks; only the histogram of piece lengths (at most ``capacity`` numbers) reaches the driver. A
 configuration is a multiset of lengths that fits one sequence. The program - cover all pieces with as few configurations
 as possible - is solved by multiplicative weights: each length has a price, a knapsack dynamic program finds the most
-valuable configuration, and the prices of the lengths it holds fall. The fractional solution is rounded down, and what is
-left is packed best-fit, longest first. Tasks then look up the place of the r-th piece of each length.
+valuable configuration, it is used for a share of what is left, and the prices of the lengths it holds fall. Each use is
+rounded to whole sequences and never holds more than is left, so what is left is the program's own remainder, solved on in
+the next rounds. Tasks then look up the place of the r-th piece of each length.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -24,78 +26,132 @@ from pyspark.sql import functions as F
 from sentrylake.llm.common import cut
 
 _PIECES: dict[str, Pieces] = {}
+# Marks where texts are cut; a text that holds it is not cut.
+_MARK = "\0"
 
 
 class Pieces:
-    """Token ids of texts, as little-endian 32-bit bytes.
+    """Token ids of texts.
 
-    A blank between two characters that are no white space always begins a token of a byte-level vocabulary, so a text
-    may be cut there. The ids of the parts are remembered in two generations of at most ``most`` parts: what was not
-    asked for while one filled is forgotten. A longer run of white space is never cut.
+    A blank or a line feed between two characters that are no white space always begins a token of a byte-level
+    vocabulary, so a text may be cut there. Arrow cuts a batch of texts and finds its distinct parts; a part is tokenised
+    once and remembered, until more than ``most`` are, and then all are forgotten. Ids are put together by offsets. A
+    longer run of white space is never cut.
     """
 
-    def __init__(self, path: str, most: int = 120_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.most, self.young, self.old = most, {}, {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.most = most
+        self._forget()
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.starts = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def _encode(self, parts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; ``texts`` is a batch that fits in memory with its parts."""
-        split = [_parts(text) for text in texts]
-        young, old, missing = self.young, self.old, {}
-        for parts in split:
-            for part in parts:
-                if part not in young:
-                    if (found := old.get(part)) is not None:
-                        young[part] = found
-                    else:
-                        missing[part] = None
-        missing = list(missing)
-        for at in range(0, len(missing), 20_000):
-            young.update(zip(missing[at:at + 20_000], self._encode(missing[at:at + 20_000]), strict=True))
-        for parts in split:
-            yield b"".join(map(young.__getitem__, parts))
-        if len(young) > self.most:
-            self.young, self.old = {}, young
-
-
-def _parts(text: str) -> list[str]:
-    """The text cut before each single blank that touches no other white space."""
-    parts = text.split(" ")
-    if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
-        parts = _joined(parts)
-    return [parts[0], *[" " + p for p in parts[1:]]]
-
-
-def _joined(parts: list[str]) -> list[str]:
-    """Parts between single blanks that touch no other white space."""
-    out = [parts[0]]
-    for part in parts[1:]:
-        before = out[-1]
-        if not part or part[0].isspace() or not before or before[-1].isspace():
-            out[-1] = f"{before} {part}"
-        else:
-            out.append(part)
-    return out
-
-
-def _in_runs(pieces: Pieces, texts: list[str], characters: int = 1_000_000) -> Iterator[bytes]:
-    """Ids of each text, taken together in runs of about so many characters."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text)
-        if size >= characters:
-            yield from pieces.ids(run)
-            run, size = [], 0
-    yield from pieces.ids(run)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _learn(self, parts: list[str], plain: list[bool]) -> None:
+        """Remembers new parts. ``plain`` ones hold no line feed and are taken many at once, a line feed between them."""
+        many = [p for p, one in zip(parts, plain, strict=True) if one and self.line is not None]
+        single = [p for p, one in zip(parts, plain, strict=True) if not (one and self.line is not None)]
+        runs = [many[i:i + 1000] for i in range(0, len(many), 1000)]
+        found, sizes = [], []
+        for run, ids in zip(runs, self._encode(["\n".join(run) for run in runs]), strict=True):
+            between = np.flatnonzero(ids == self.line)
+            if len(between) != len(run) - 1:  # no vocabulary of the kind described above
+                each = self._encode(run)
+                ids, lengths = np.concatenate(each), np.array([len(x) for x in each])
+            else:
+                lengths = np.diff(np.concatenate([[-1], between, [len(ids)]])) - 1
+                ids = ids[ids != self.line]
+            found.append(ids)
+            sizes.append(lengths)
+        each = self._encode(single)
+        found += each
+        sizes.append(np.array([len(x) for x in each], np.int64))
+        first = len(self.known)
+        self.known.update(zip([*many, *single], range(first, first + len(parts)), strict=True))
+        self.flat = np.concatenate([self.flat, *found])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's end; no text is null."""
+        if len(self.known) > self.most:
+            self._forget()
+        words, index, ends = _parted(texts)
+        regular = [not any(x.isspace() for x in (w[:1].strip(" ") + w[1:2], w[-1:])) and w != "" for w in words]
+        # A cut is good between a part that ends and one that begins with something else than white space. What follows a
+        # line feed is cut off only if what goes before it is.
+        line = np.array([w == "\n" for w in words], bool)
+        last = np.array([w[-1:].strip() != "" for w in words], bool) | line
+        begins = np.array([_begins(w) for w in words], bool) | line
+        good = np.ones(len(index) + 1, bool)
+        good[1:-1] = last[index[:-1]] & begins[index[1:]]
+        good[ends[:-1]] = True
+        good[1:-1] &= ~line[index[:-1]] | good[:-2]
+        if not good.all():
+            first = np.flatnonzero(good[:-1])
+            after = np.append(first[1:], len(index))
+            joined = {int(i): "".join(words[j] for j in index[first[i]:after[i]]) for i in np.flatnonzero(after - first > 1)}
+            places = {w: i for i, w in enumerate(words)}
+            ends = np.searchsorted(first, ends)
+            index = index[first].copy()
+            for i, text in joined.items():
+                if text not in places:
+                    places[text] = len(words)
+                    words.append(text)
+                    regular.append(False)
+                index[i] = places[text]
+        used = np.unique(index)
+        new = [j for j in used.tolist() if words[j] not in self.known]
+        plain = [regular[j] and "\n" not in words[j] and not any(x in words[j] for x in self.added) for j in new]
+        if new:
+            self._learn([words[j] for j in new], plain)
+        entry = np.zeros(len(words), np.int64)
+        entry[used] = [self.known[words[j]] for j in used.tolist()]
+        at = entry[index]
+        sizes = self.starts[at + 1] - self.starts[at]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        from_ = np.repeat(self.starts[at] - upto[:-1], sizes)
+        return self.flat[from_ + np.arange(upto[-1])], upto[ends]
+
+
+def _begins(part: str) -> bool:
+    """Whether a part begins with a character that is no white space, after one blank at most."""
+    rest = part[1:2] if part[:1] == " " else part[:1]
+    return rest.strip() != ""
+
+
+def _parted(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct parts, the part at each place, and where each text's places end. Blanks stay with the part they begin."""
+    marked = pc.replace_substring(pc.replace_substring(texts, " ", _MARK + " "), "\n", f"{_MARK}\n{_MARK}")
+    parts = pc.split_pattern(marked, _MARK)
+    if pc.any(pc.match_substring(texts, _MARK)).as_py():
+        parts = pa.array([[t] if _MARK in t else p for t, p in zip(texts.to_pylist(), parts.to_pylist(), strict=True)],
+                         pa.list_(pa.string()))
+    ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False)).astype(np.int64)
+    coded = parts.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), ends
+
+
+def _in_runs(pieces: Pieces, texts: pa.Array, size: int = 4_000_000) -> Iterator[np.ndarray]:
+    """Ids of each text, taken together in runs of about ``size`` bytes."""
+    lengths = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = int(lengths[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(lengths, before + size)))
+        ids, ends = pieces.ids(texts.slice(start, stop - start))
+        yield from np.split(ids, ends[:-1])
+        start = stop
 
 
 def pieces_of(path: str) -> Pieces:
@@ -111,22 +167,22 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: i
     All pieces of a cut document but the first are full.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(tokenizer_path)
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
-            for row, ids in enumerate(_in_runs(pieces, batch.column(1).to_pylist())):
-                ids += end
-                n, first = len(ids) // 4, 0
+            for row, ids in enumerate(_in_runs(pieces, batch.column(1))):
+                n, first = len(ids) + 1, 0
                 to = n % capacity or capacity
                 while first < n:
                     at.append(row)
                     piece.append(0 if first == 0 else piece[-1] + 1)
                     start.append(first)
                     length.append(to - first)
-                    crc.append(zlib.crc32(ids[4 * first:4 * to]))
+                    read = zlib.crc32(ids[first:to])
+                    crc.append(zlib.crc32(end, read) if to == n else read)
                     first, to = to, to + capacity
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()),
@@ -162,8 +218,16 @@ def best_configuration(prices: np.ndarray, capacity: int, counts: np.ndarray) ->
     return sorted(found, reverse=True)
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int = 400, rate: float = 0.1) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations with how often each is used; together they hold exactly the pieces of ``histogram``."""
+def solve(histogram: dict[int, int], capacity: int, step: float = 0.5, rate: float = 50.0, bend: float = 2.0,
+          choice: int = 64) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations with how often each is used; together they hold exactly the pieces of ``histogram``.
+
+    A piece's price is its length, up to ``1 + bend`` times as much for long ones, for which there are fewer gaps, and
+    falls by exp(-share / rate) with the share of its length that is placed: among configurations that fill a sequence
+    alike the lengths that are behind win, so all run out together and short ones are there to fill gaps up to the end. A
+    configuration is used for at most the share ``step`` of any length in it, rounded down, once at least. The knapsack
+    looks at the ``choice`` dearest lengths and as many others, at more if these do not fill a sequence.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
@@ -171,40 +235,24 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = 400, rate: flo
     if left[capacity]:
         plan[(capacity,)] += int(left[capacity])
         left[capacity] = 0
-    demand = left.astype(float)
-    there = np.flatnonzero(demand)
-    if len(there):
-        covered, used = np.zeros(capacity + 1), Counter()
-        for _ in range(rounds):
-            # The price of a piece falls with the share of its demand that is covered. A share counts by its length, so
-            # that equally covered pieces make a full sequence.
-            share = covered[there] / demand[there]
+    demand = np.maximum(left, 1)
+    while len(there := np.flatnonzero(left)):
+        placed = 1 - left[there] / demand[there]
+        worth = there * np.exp(-(placed - placed.min()) / rate) * (1 + bend * there / capacity)
+        dearest = there[np.argsort(-worth / there, kind="stable")]
+        lengths: list[int] = []
+        for few in (choice, 4 * choice, len(there)):
+            some = np.union1d(dearest[:few], there[::max(1, len(there) // few)])
             prices = np.zeros(capacity + 1)
-            prices[there] = there * np.exp(-(share - share.min()) / rate)
+            prices[some] = worth[np.searchsorted(there, some)]
             lengths = best_configuration(prices, capacity, left)
-            held = Counter(lengths)
-            step = max(min(demand[x] / n for x, n in held.items()) * rate, 1.0)
-            for x, n in held.items():
-                covered[x] += n * step
-            used[tuple(lengths)] += step
-        # Scaled so that the most covered length is covered once, then rounded down.
-        scale = 1 / max(covered[there] / demand[there])
-        for lengths, times in sorted(used.items(), key=lambda u: (-u[1], u[0])):
-            held = Counter(lengths)
-            whole = min([int(times * scale + 1e-9), *[int(left[x]) // n for x, n in held.items()]])
-            if whole > 0:
-                plan[lengths] += whole
-                for x, n in held.items():
-                    left[x] -= n * whole
-        # The rest by the same table, priced by length: full sequences first, of uneven pieces where there is a choice.
-        size = np.arange(capacity + 1)
-        while left.any():
-            lengths = best_configuration(size * (1.0 + 1e-3 * size / capacity) * (left > 0), capacity, left)
-            held = Counter(lengths)
-            whole = min(int(left[x]) // n for x, n in held.items())
-            plan[tuple(lengths)] += whole
-            for x, n in held.items():
-                left[x] -= n * whole
+            if sum(lengths) == capacity or len(some) == len(there):
+                break
+        held = Counter(lengths)
+        times = max(1, min(min(int(left[x]), int(demand[x] * step)) // n for x, n in held.items()))
+        plan[tuple(lengths)] += times
+        for x, n in held.items():
+            left[x] -= n * times
     return sorted(plan.items(), key=lambda p: (p[0], p[1]), reverse=True)
 
 

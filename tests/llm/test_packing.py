@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -16,18 +17,74 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def plain_ids(texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_cut_texts_have_the_same_ids():
     rng = random.Random(8)
     alphabet = ["a", "B", "é", "ñ", "'s", "1", "2.5", ",", " ", " ", " ", "\n", "\t", "\xa0", " ", "\x1c", "你", "😀", "don't", "\r\n"]
-    texts = ["", " ", "<|endoftext|> x <|endoftext|>", "a" * 5000] + ["".join(rng.choices(alphabet, k=rng.randrange(1, 60))) for _ in range(3000)]
+    texts = ["", " ", "\n", "<|endoftext|> x <|endoftext|>", "one <|endoftext|> two", "a" * 5000, "a\0b c\0", "a \nb", "a\n b", "a\n\nb",
+             "\na", "a\n", "a\n<|endoftext|>\nb", " a  b", "a\nb\nc d"]
+    texts += ["".join(rng.choices([*alphabet, "<|endoftext|>"], k=rng.randrange(1, 60))) for _ in range(3000)]
     pieces = packing.Pieces(PATH, most=50)
     for part in (texts[:5], texts[5:], texts):
-        got = [np.frombuffer(x, "<u4").tolist() for x in pieces.ids(part)]
-        assert got == plain_ids(part)
+        ids, ends = pieces.ids(pa.array(part))
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == plain_ids(part)
+    assert [x.tolist() for x in packing._in_runs(pieces, pa.array(texts), 500)] == plain_ids(texts)
+
+
+def test_added_tokens_keep_their_id():
+    ids, _ = packing.Pieces(PATH).ids(pa.array(["one <|endoftext|> two"]))
+    assert ids.tolist() == [505, 220, 50256, 734]
+
+
+def best_fit_decreasing(histogram, capacity):
+    room = Counter()
+    used = 0
+    for length in sorted(histogram, reverse=True):
+        left = histogram[length]
+        while left:
+            fit = min((r for r, n in room.items() if n and r >= length), default=None)
+            if fit is None:
+                times = min(left, max(1, left // (capacity // length)))
+                used += times
+                room[capacity] += times
+                fit = capacity
+            times = min(left, room[fit])
+            room[fit] -= times
+            room[fit - length] += times
+            left -= times
+    return used
+
+
+HISTOGRAMS = {
+    "few": lambda rng: Counter(min(1023, int(rng.lognormvariate(5.3, 1)) + 1) for _ in range(700)),
+    "middle": lambda rng: Counter(rng.randrange(300, 701) for _ in range(20_000)),
+    "all": lambda rng: Counter(rng.randrange(1, 1024) for _ in range(50_000)),
+    "long tail": lambda rng: Counter(min(1023, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(200_000)),
+    "thirds": lambda rng: Counter(rng.choice([330, 340, 350, 345, 20, 700]) for _ in range(5000)),
+    "halves": lambda rng: Counter(rng.randrange(500, 530) for _ in range(3000)),
+}
+
+
+@pytest.mark.parametrize("name", HISTOGRAMS)
+def test_no_worse_than_best_fit_decreasing(name):
+    histogram = HISTOGRAMS[name](random.Random(7))
+    got = check_plan(histogram, 1024, packing.solve(histogram, 1024))
+    bound = -(-sum(k * v for k, v in histogram.items()) // 1024)
+    plain = best_fit_decreasing(histogram, 1024)
+    print(name, got, plain, bound)
+    assert bound <= got <= plain
+    if name in ("few", "long tail"):
+        assert got <= bound * 1.005 + 1
+
+
+def test_configurations_are_used_many_times():
+    """The program decides: with many pieces nearly all lie in configurations that are used more than once."""
+    histogram = HISTOGRAMS["long tail"](random.Random(7))
+    plan = packing.solve(histogram, 1024)
+    many = sum(len(lengths) * times for lengths, times in plan if times > 1)
+    assert many > 0.8 * sum(histogram.values()) and len(plan) < 2500
 
 
 def check_plan(histogram, capacity, plan):
