@@ -10,6 +10,7 @@ the next rounds. Tasks then look up the place of the r-th piece of each length.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections import Counter
@@ -28,18 +29,21 @@ from sentrylake.llm.common import cut
 _PIECES: dict[str, Pieces] = {}
 # Marks where texts are cut; a text that holds it is not cut.
 _MARK = "\0"
+# What a part begins or ends with: white space or nothing, a line feed that is the whole part, a comma or full stop, a letter
+# or digit, something else. No part is cut off before or after white space, and before a comma only after a letter or digit.
+_SPACE, _LINE, _MARKS, _ALNUM, _OTHER = range(5)
 
 
 class Pieces:
     """Token ids of texts.
 
-    A blank or a line feed between two characters that are no white space always begins a token of a byte-level
-    vocabulary, so a text may be cut there. Arrow cuts a batch of texts and finds its distinct parts; a part is tokenised
-    once and remembered, until more than ``most`` are, and then all are forgotten. Ids are put together by offsets. A
-    longer run of white space is never cut.
+    A byte-level vocabulary always begins a token at a blank or a line feed between two characters that are no white space,
+    and at a comma or full stop after a letter or digit, so a text may be cut there. Arrow cuts a batch of texts and finds
+    its distinct parts; a part is tokenised once and remembered. Over ``most`` parts the less used half is forgotten. Ids
+    are put together by offsets. A longer run of white space or of other characters is never cut.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -48,91 +52,119 @@ class Pieces:
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
         self.most = most
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.starts = np.empty(0, "<u4"), np.zeros(1, np.int64)
+        self.used = np.zeros(0, np.int64)
+        # Of each part: what it begins and ends with, see the constants above.
+        self.begins, self.ends = np.zeros(0, np.int8), np.zeros(0, np.int8)
+
+    def _forget(self) -> None:
+        """Keeps the half that was used most."""
+        keep = np.sort(np.argsort(-self.used, kind="stable")[:self.most // 2])
+        names = list(self.known)
+        self.known = {names[j]: i for i, j in enumerate(keep.tolist())}
+        sizes = np.diff(self.starts)[keep]
+        self.flat = self.flat[_ranges(self.starts[keep], sizes)]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.used, self.begins, self.ends = self.used[keep] // 2, self.begins[keep], self.ends[keep]
 
     def _encode(self, parts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def _learn(self, parts: list[str], plain: list[bool]) -> None:
-        """Remembers new parts. ``plain`` ones hold no line feed and are taken many at once, a line feed between them."""
-        many = [p for p, one in zip(parts, plain, strict=True) if one and self.line is not None]
-        single = [p for p, one in zip(parts, plain, strict=True) if not (one and self.line is not None)]
+    def _entries(self, words: list[str]) -> np.ndarray:
+        """The number of each part; new ones are tokenised, plain words many at once with a line feed between them."""
+        entry = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(entry < 0)
+        if not len(new):
+            return entry
+        parts = [words[j] for j in new.tolist()]
+        begins, ends = [_begin(w) for w in parts], [_end(w) for w in parts]
+        plain = [self.line is not None and b == _OTHER and e in (_OTHER, _ALNUM) and "\n" not in w and not any(x in w for x in self.added)
+                 for w, b, e in zip(parts, begins, ends, strict=True)]
+        many = list(itertools.compress(range(len(parts)), plain))
+        single = [i for i, one in enumerate(plain) if not one]
         runs = [many[i:i + 1000] for i in range(0, len(many), 1000)]
-        found, sizes = [], []
-        for run, ids in zip(runs, self._encode(["\n".join(run) for run in runs]), strict=True):
+        found, sizes = [], [np.zeros(0, np.int64)]
+        for run, ids in zip(runs, self._encode(["\n".join([parts[i] for i in run]) for run in runs]), strict=True):
             between = np.flatnonzero(ids == self.line)
-            if len(between) != len(run) - 1:  # no vocabulary of the kind described above
-                each = self._encode(run)
-                ids, lengths = np.concatenate(each), np.array([len(x) for x in each])
-            else:
-                lengths = np.diff(np.concatenate([[-1], between, [len(ids)]])) - 1
-                ids = ids[ids != self.line]
-            found.append(ids)
-            sizes.append(lengths)
-        each = self._encode(single)
+            if len(between) == len(run) - 1:
+                found.append(ids[ids != self.line])
+                sizes.append(np.diff(np.concatenate([[-1], between, [len(ids)]])) - 1)
+            else:  # no vocabulary of the kind described above
+                each = self._encode([parts[i] for i in run])
+                found += each
+                sizes.append(np.array([len(x) for x in each]))
+        each = self._encode([parts[i] for i in single])
         found += each
         sizes.append(np.array([len(x) for x in each], np.int64))
+        order = many + single
         first = len(self.known)
-        self.known.update(zip([*many, *single], range(first, first + len(parts)), strict=True))
+        self.known.update(zip([parts[i] for i in order], range(first, first + len(order)), strict=True))
         self.flat = np.concatenate([self.flat, *found])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+        self.used = np.concatenate([self.used, np.zeros(len(order), np.int64)])
+        self.begins = np.concatenate([self.begins, np.array(begins, np.int8)[order]])
+        self.ends = np.concatenate([self.ends, np.array(ends, np.int8)[order]])
+        entry[new[order]] = np.arange(first, first + len(order))
+        return entry
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and where each text's end; no text is null."""
         if len(self.known) > self.most:
             self._forget()
         words, index, ends = _parted(texts)
-        regular = [not any(x.isspace() for x in (w[:1].strip(" ") + w[1:2], w[-1:])) and w != "" for w in words]
-        # A cut is good between a part that ends and one that begins with something else than white space. What follows a
-        # line feed is cut off only if what goes before it is.
-        line = np.array([w == "\n" for w in words], bool)
-        last = np.array([w[-1:].strip() != "" for w in words], bool) | line
-        begins = np.array([_begins(w) for w in words], bool) | line
-        good = np.ones(len(index) + 1, bool)
-        good[1:-1] = last[index[:-1]] & begins[index[1:]]
+        at = self._entries(words)[index]
+        begin, end = self.begins[at], self.ends[at]
+        # What follows a line feed is cut off only if what goes before it is.
+        good = np.ones(len(at) + 1, bool)
+        good[1:-1] = (end[:-1] != _SPACE) & np.where(begin[1:] == _MARKS, end[:-1] == _ALNUM, begin[1:] != _SPACE)
         good[ends[:-1]] = True
-        good[1:-1] &= ~line[index[:-1]] | good[:-2]
+        good[1:-1] &= (end[:-1] != _LINE) | good[:-2]
         if not good.all():
             first = np.flatnonzero(good[:-1])
-            after = np.append(first[1:], len(index))
-            joined = {int(i): "".join(words[j] for j in index[first[i]:after[i]]) for i in np.flatnonzero(after - first > 1)}
-            places = {w: i for i, w in enumerate(words)}
+            size = np.diff(np.append(first, len(at)))
+            long = np.flatnonzero(size > 1)
+            joined = ["".join([words[j] for j in index[i:i + n].tolist()]) for i, n in zip(first[long].tolist(), size[long].tolist(), strict=True)]
             ends = np.searchsorted(first, ends)
-            index = index[first].copy()
-            for i, text in joined.items():
-                if text not in places:
-                    places[text] = len(words)
-                    words.append(text)
-                    regular.append(False)
-                index[i] = places[text]
-        used = np.unique(index)
-        new = [j for j in used.tolist() if words[j] not in self.known]
-        plain = [regular[j] and "\n" not in words[j] and not any(x in words[j] for x in self.added) for j in new]
-        if new:
-            self._learn([words[j] for j in new], plain)
-        entry = np.zeros(len(words), np.int64)
-        entry[used] = [self.known[words[j]] for j in used.tolist()]
-        at = entry[index]
+            at = at[first]
+            distinct = list(dict.fromkeys(joined))
+            places = dict(zip(distinct, self._entries(distinct).tolist(), strict=True))
+            at[long] = [places[x] for x in joined]
+        self.used += np.bincount(at, minlength=len(self.used))
         sizes = self.starts[at + 1] - self.starts[at]
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        from_ = np.repeat(self.starts[at] - upto[:-1], sizes)
-        return self.flat[from_ + np.arange(upto[-1])], upto[ends]
+        return self.flat[_ranges(self.starts[at], sizes)], upto[ends]
 
 
-def _begins(part: str) -> bool:
-    """Whether a part begins with a character that is no white space, after one blank at most."""
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _begin(part: str) -> int:
+    """What a part begins with, after one blank at most."""
+    if part == "\n":
+        return _LINE
+    if part[:1] in (",", "."):
+        return _MARKS
     rest = part[1:2] if part[:1] == " " else part[:1]
-    return rest.strip() != ""
+    return _OTHER if rest.strip() else _SPACE
+
+
+def _end(part: str) -> int:
+    if part == "\n":
+        return _LINE
+    last = part[-1:]
+    return _ALNUM if last.isalnum() else _OTHER if last.strip() else _SPACE
 
 
 def _parted(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct parts, the part at each place, and where each text's places end. Blanks stay with the part they begin."""
-    marked = pc.replace_substring(pc.replace_substring(texts, " ", _MARK + " "), "\n", f"{_MARK}\n{_MARK}")
+    marked = texts
+    for before, after in ((" ", _MARK + " "), ("\n", f"{_MARK}\n{_MARK}"), (",", _MARK + ","), (".", _MARK + ".")):
+        marked = pc.replace_substring(marked, before, after)
     parts = pc.split_pattern(marked, _MARK)
     if pc.any(pc.match_substring(texts, _MARK)).as_py():
         parts = pa.array([[t] if _MARK in t else p for t, p in zip(texts.to_pylist(), parts.to_pylist(), strict=True)],
@@ -239,15 +271,23 @@ def solve(histogram: dict[int, int], capacity: int, step: float = 0.5, rate: flo
     while len(there := np.flatnonzero(left)):
         placed = 1 - left[there] / demand[there]
         worth = there * np.exp(-(placed - placed.min()) / rate) * (1 + bend * there / capacity)
-        dearest = there[np.argsort(-worth / there, kind="stable")]
-        lengths: list[int] = []
-        for few in (choice, 4 * choice, len(there)):
-            some = np.union1d(dearest[:few], there[::max(1, len(there) // few)])
-            prices = np.zeros(capacity + 1)
-            prices[some] = worth[np.searchsorted(there, some)]
-            lengths = best_configuration(prices, capacity, left)
-            if sum(lengths) == capacity or len(some) == len(there):
+        # The dearest piece, and the most valuable filling of the room beside it.
+        head = int(there[np.argmax(worth)])
+        left[head] -= 1
+        room = capacity - head
+        fits = (there <= room) & (left[there] > 0)
+        fitting, value = there[fits], worth[fits]
+        dearest = fitting[np.argsort(-value / fitting, kind="stable")]
+        filling: list[int] = []
+        for few in (choice, 4 * choice, len(fitting)):
+            some = np.union1d(dearest[:few], fitting[::max(1, len(fitting) // max(few, 1))])
+            prices = np.zeros(room + 1)
+            prices[some] = value[np.searchsorted(fitting, some)]
+            filling = best_configuration(prices, room, left[:room + 1])
+            if sum(filling) == room or len(some) == len(fitting):
                 break
+        left[head] += 1
+        lengths = sorted([head, *filling], reverse=True)
         held = Counter(lengths)
         times = max(1, min(min(int(left[x]), int(demand[x] * step)) // n for x, n in held.items()))
         plan[tuple(lengths)] += times
