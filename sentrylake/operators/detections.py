@@ -76,7 +76,7 @@ class Correlation:
     window: str = "2 minutes"
     severity_max: int = 2
     bytes: int = 1_000_000
-    salt: int = 1
+    salt: int | None = None  # None: none on streams, measured in batch
 
 
 @dataclass(frozen=True)

@@ -287,6 +287,18 @@ def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.iso_text(stored, "event_timestamp")
 
 
+def _upsert_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by day; then corrections that move every alert a day on, into another partition."""
+    path = shared_dir(spark, "documents-by-day")
+    old = a.corpus(spark, sf_dir).select(
+        "event_id", F.to_date("event_timestamp").cast("string").alias("day"), F.lit(1).alias("version"), "event_dataset")
+    new = old.where(F.col("event_dataset") == "snort.alert").withColumns({
+        "day": F.date_add("day", 1).cast("string"), "version": F.lit(2)})
+    for delivery in (old, new):
+        upsert(delivery, ["event_id"], "version", path=path, partition_by=["day"])
+    return spark.read.schema(old.schema).parquet(path).select("event_id", "day", "version")
+
+
 def _write_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "by-dataset")
     write_by(to_dotted(a.corpus(spark, sf_dir)).withColumnRenamed("event.dataset", "dataset"), "dataset", path)
@@ -337,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "event_keys": _event_keys,
     "overwrite_run": _overwrite_run,
     "upsert": _upsert,
+    "upsert_moved": _upsert_moved,
     "write_by_dataset": _write_by,
     "write_results": _write_results,
     "count_delta": _count_delta,
@@ -423,6 +436,9 @@ ORACLES: dict[str, str] = {
     "overwrite_run": a.sql("""
       SELECT 'run-1' AS benchmark_id, count(*) AS event_count FROM corpus WHERE event_dataset = 'zeek.conn'
       UNION ALL SELECT 'run-2', count(*) FROM corpus"""),
+    "upsert_moved": a.sql("""
+      SELECT event_id, strftime(CAST(event_time AS DATE) + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END, '%Y-%m-%d') AS day,
+        CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS version FROM conn"""),
     "upsert": a.sql("""
       SELECT event_id, event_dataset,
         CASE WHEN event_dataset = 'snort.alert' AND k % 2 = 1 THEN strftime(event_time + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%g')

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -93,19 +94,23 @@ def overwrite_run(
     writer.options(**_bloom([c for c in BLOOM_COLUMNS if c in df.columns])).parquet(path)
 
 
+def _rank(columns: list[str], order: str, prefix: str = "") -> Column:
+    """What decides between two deliveries of an id: the greater ``order``, no order last, then the greater content hash."""
+    return F.struct(F.col(prefix + order).alias("_order"), F.xxhash64(*[F.col(prefix + c) for c in columns]).alias("_content"))
+
+
 def newest_by_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key: the one with the greatest ``order``; rows without one come last, ties are broken by content.
 
     Only a narrow rank is aggregated; whole rows are neither sorted nor gathered.
     """
-    content = F.xxhash64(*[F.col(c) for c in rows.columns])
-    ranked = rows.withColumns({"_order": F.col(order), "_content": content})
-    best = ranked.groupBy(*keys).agg(F.max(F.struct("_order", "_content")).alias("_best"))
+    ranked = rows.withColumn("_rank", _rank(rows.columns, order))
+    best = ranked.groupBy(*keys).agg(F.max("_rank").alias("_best"))
     named = best.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_best")
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    won = ranked.join(named, same & (F.struct("_order", "_content") == F.col("_best")), "left_semi")
+    won = ranked.join(named, same & F.col("_rank").eqNullSafe(F.col("_best")), "left_semi")
     # Deliveries that are equal in every column have one content and all win.
-    return won.drop("_order", "_content").dropDuplicates(rows.columns)
+    return won.drop("_rank").dropDuplicates(rows.columns)
 
 
 def upsert(
@@ -117,8 +122,12 @@ def upsert(
     The rule is the same for batches and streams (which load each micro-batch) and for every sink:
 
     * ``table``: a catalog table that supports it takes a ``MERGE``.
-    * ``path``: a Parquet folder; only those partitions (``partition_by``) that get new rows are read and rewritten, so an
-      id must keep its partition. A rewrite is staged in the shared folder first.
+    * ``path``: a Parquet folder; only those partitions (``partition_by``) that get new rows, or that an id of theirs may
+      lie in so far, are read and rewritten. Which partitions an id was ever loaded into is kept in the folder's own
+      ``_ids`` table, by hash of the id; it grows by the ids that are new to a partition. A rewrite is staged in the shared
+      folder first, and the ids are written before it: a load that failed can be repeated as it is.
+
+    Equal orders are decided by a hash of the content, so it does not matter which delivery came first.
     """
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table")
@@ -139,30 +148,75 @@ def upsert(
 def _merge(rows: DataFrame, keys: list[str], order: str, table: str) -> None:
     old = table.split(".")[-1]
     same = reduce(and_, [F.col(f"new.{k}").eqNullSafe(F.col(f"{old}.{k}")) for k in keys])
-    newer = F.col(f"{old}.{order}").isNull() | (F.col(f"new.{order}") >= F.col(f"{old}.{order}"))
+    newer = _rank(rows.columns, order, "new.") > _rank(rows.columns, order, f"{old}.")
     rows.alias("new").mergeInto(table, same).whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()
 
 
+_BUCKETS = 64
+
+
+def _id_places(rows: DataFrame, keys: list[str], partition_by: list[str]) -> DataFrame:
+    """The distinct ids and partitions of rows, with the id's bucket."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS)).cast("int").alias("_bucket")
+    return rows.select(*dict.fromkeys([*keys, *partition_by]), bucket).distinct()
+
+
+def _null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def _locate(batch: DataFrame, keys: list[str], path: str, partition_by: list[str]) -> DataFrame:
+    """The partitions that a load touches: those of the batch, and those that its ids were loaded into before.
+
+    Writes down the places of the batch's ids that are not known yet.
+    """
+    spark, ids = batch.sparkSession, f"{path.rstrip('/')}/_ids"
+    new = _id_places(batch, keys, partition_by)
+    if not _exists(spark, ids):  # a folder without the table: all its ids are read once
+        stored = _id_places(spark.read.schema(batch.schema).parquet(path), keys, partition_by) if _exists(spark, path) else new.limit(0)
+        # Without a row, too, so that the next load finds the table.
+        stored.repartition("_bucket").write.partitionBy("_bucket").parquet(ids)
+    known = spark.read.schema(new.schema).parquet(ids)
+    buckets = [r[0] for r in new.select("_bucket").distinct().collect()]  # at most _BUCKETS numbers
+    known = known.where(F.col("_bucket").isin(buckets)).select(*new.columns)
+    held = known.join(new, _null_safe(known, new, list(dict.fromkeys(keys))), "left_semi")
+    places = held.select(*partition_by).unionByName(new.select(*partition_by)).distinct()
+    staged = shared_dir(spark, "places")
+    places.write.parquet(staged)
+    fresh = new.join(held, _null_safe(new, held, new.columns), "left_anti")
+    fresh.repartition("_bucket").write.mode("append").partitionBy("_bucket").parquet(ids)
+    return spark.read.schema(places.schema).parquet(staged)
+
+
 def _rewrite(batch: DataFrame, keys: list[str], order: str, path: str, partition_by: list[str]) -> None:
     spark = batch.sparkSession
     staged = shared_dir(spark, "upsert")
-    rows = batch
+    touched = _locate(batch, keys, path, partition_by) if partition_by else None
+    rows, before = batch, []
     if _exists(spark, path):
-        stored = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
-        if partition_by:
-            touched = batch.select(*partition_by).distinct()
-            same = reduce(and_, [stored[c].eqNullSafe(touched[c]) for c in partition_by])
-            stored = stored.join(touched, same, "left_semi")
-        rows = stored.unionByName(batch)
+        stored = spark.read.schema(batch.schema).parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+        if touched is not None:
+            stored = stored.join(touched, _null_safe(stored, touched, partition_by), "left_semi")
+            folders = stored.select(*partition_by, F.regexp_replace("_file", "/[^/]*$", "").alias("_folder")).distinct()
+            before = folders.collect()  # a row for each partition that is rewritten
+        rows = stored.select(*batch.columns).unionByName(batch)
     newest_by_key(rows, keys, order).write.parquet(staged)
     ready = spark.read.schema(batch.schema).parquet(staged)
     writer = spread(ready, partition_by).write.mode("overwrite") if partition_by else ready.write.mode("overwrite")
     writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic") if partition_by else writer
     writer.options(**_bloom([c for c in BLOOM_COLUMNS if c in batch.columns])).parquet(path)
+    if before:
+        # Spark leaves a partition alone that gets no row: where all ids have moved away, the folder is emptied.
+        kept = {tuple(r) for r in ready.select(*partition_by).distinct().collect()}
+        for r in before:
+            if tuple(r[c] for c in partition_by) not in kept:
+                empty = spark.createDataFrame([], ready.drop(*partition_by).schema)
+                empty.write.mode("overwrite").parquet(unquote(r["_folder"]))  # Spark names files as URIs
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        return bool(spark.read.format("binaryFile").load(path).select("path").limit(1).count())
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        return bool(files.load(path).select("path").limit(1).count())
     except AnalysisException:
         return False

@@ -12,7 +12,7 @@ from sentrylake.operators import runs as r
 from sentrylake.operators import search as s
 from sentrylake.operators.corpus import derive_alerts, multiplier, scale_out
 from sentrylake.operators.detections import PORT_SCAN_RULE, PortScan, TopTalkers, all_alerts, detect_port_scan
-from sentrylake.operators.joins import alert_latency, count_delta, evidence_for, interval_join, missing_rules
+from sentrylake.operators.joins import alert_latency, count_delta, evidence_for, heavy_keys, interval_join, missing_rules
 from sentrylake.schemas import CONN_SCHEMA, IDS_SCHEMA, LAKE_SCHEMA
 
 T0 = datetime(2024, 1, 1)
@@ -80,7 +80,51 @@ def test_interval_join_against_brute_force(spark, lower, upper, width, salt):
     assert sorted((x.t_id, x.u_id) for x in got.collect()) == want
 
 
-@pytest.mark.parametrize("salt", [1, 3])
+def test_hot_pairs_are_measured_and_split(spark):
+    """One source with half of all rows, all in one bin: no task gets more than three times the median."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        at = F.timestamp_seconds(F.lit(1_699_999_920) + F.col("id") % 60)
+        right = spark.range(60_000).select(
+            F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 2000)).alias("ip"), at.alias("u"),
+            F.col("id").alias("event"))
+        left = right.select("ip").distinct().withColumn("t", F.timestamp_seconds(F.lit(1_699_999_920)))
+        heavy = heavy_keys(right, ["ip"]).collect()
+        assert [r._pair for r in heavy] == [spark.sql("SELECT xxhash64('hot')").first()[0]] and 30 <= heavy[0]._salts <= 34
+        met = interval_join(left, right, "ip", "t", "u", upper="2 minutes")
+        sizes = sorted(r["count"] for r in met.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert sum(sizes) == met.select("event").distinct().count() == 60_000 and len(sizes) == 16
+        assert sizes[-1] < 3 * sizes[8]
+        plain = interval_join(left, right, "ip", "t", "u", upper="2 minutes", salt=1)
+        assert max(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect()) >= 30_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_no_rows_no_heavy_keys(spark):
+    empty = spark.createDataFrame([], "ip string, t timestamp")
+    assert heavy_keys(empty, ["ip"]).count() == 0
+    assert heavy_keys(spark.createDataFrame([(None,)] * 9, "ip string"), ["ip"]).count() == 0
+    assert interval_join(empty, empty.withColumnRenamed("t", "u"), "ip", "t", "u", upper="1 minute").count() == 0
+
+
+def test_evidence_with_equal_and_missing_addresses(spark):
+    alerts = spark.createDataFrame([("x", ["a", "b", None], "2024-01-01 00:00:00", "2024-01-01 00:10:00"), ("y", ["c"], "2024-01-01 00:00:00", "2024-01-01 00:10:00")],
+                                   "alert_id string, related_ip array<string>, window_start string, window_end string")
+    at = T0.replace(year=2024, month=1, day=1, hour=0, minute=5)
+    events = spark.createDataFrame([(1, "a", "b", at), (2, "b", "a", at), (3, "a", "a", at), (4, None, "a", at), (5, "c", None, at), (6, "c", "a", at), (7, "d", "e", at), (8, None, None, at)],
+                                   "event_id int, source_ip string, destination_ip string, event_time timestamp")
+    for salt in (None, 1, 3):
+        got = sorted(map(tuple, evidence_for(alerts, events, salt=salt).collect()))
+        assert got == [("x", 1), ("x", 2), ("x", 3), ("x", 4), ("x", 6), ("y", 5), ("y", 6)]
+
+
+@pytest.mark.parametrize("salt", [None, 1, 3])
 def test_evidence_meets_once(spark, salt):
     conns = batch(spark, CONNS, CONN_SCHEMA).withColumn("event_id", F.col("zeek_conn_uid"))
     alerts = all_alerts(conns, batch(spark, IDS, IDS_SCHEMA)).withColumn("alert_id", F.concat("rule_id", "window_start", "window_end", "message"))
@@ -217,7 +261,7 @@ def test_one_source_with_a_third_of_the_rows(spark):
         F.when(F.col("id") % 3 == 0, "10.0.0.1").otherwise(F.concat(F.lit("10.1.0."), F.col("id") % 200)).alias("source_ip"),
         F.concat(F.lit("8.8.8."), F.col("id") % 50).alias("destination_ip"), (F.col("id") % 40).cast("int").alias("destination_port"),
         F.lit(10).cast("bigint").alias("network_bytes"),
-        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 600).alias("event_time"))
+        F.timestamp_seconds(F.lit(1_699_999_920) + F.col("id") % 600).alias("event_time"))
     for cfg in (PortScan(), PortScan(panes=False)):
         hot = detect_port_scan(rows, cfg).where("source_ip = '10.0.0.1'")
         wanted = rows.where("source_ip = '10.0.0.1'").groupBy(F.window("event_time", "2 minutes", "30 seconds")).agg(

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import datetime
 
 import plain_rules as plain
@@ -223,6 +224,32 @@ def delivery(spark, rows):
                                  "event_id string, day string, event_timestamp timestamp, message string")
 
 
+def test_upsert_finds_ids_that_move(spark, tmp_path):
+    """Random loads in which ids change their partition, against a dictionary."""
+    rng, target, want = random.Random(4), str(tmp_path / "moved"), {}
+    schema = "event_id int, day string, seq int, text string"
+    for load in range(6):
+        rows = [(rng.randrange(40), rng.choice(["a", "b b", "c/d", None]), rng.randrange(50), f"t{rng.randrange(3)}") for _ in range(rng.choice([3, 25]))]
+        rows.append((None, "a", load, "no id"))
+        if load == 3:
+            rows = [(i, "b b", 99, "all move") for i in range(40)]
+        upsert(spark.createDataFrame(rows, schema), ["event_id"], "seq", path=target, partition_by=["day"])
+        hashed = {tuple(r)[:4]: r.h for r in spark.createDataFrame(rows, schema).withColumn("h", F.xxhash64("event_id", "day", "seq", "text")).collect()}
+        for r in rows:
+            if r[0] not in want or (r[2], hashed[r]) > want[r[0]][1]:
+                want[r[0]] = (r, (r[2], hashed[r]))
+        got = sorted((tuple(r) for r in spark.read.schema(schema).parquet(target).select("event_id", "day", "seq", "text").collect()), key=str)
+        assert got == sorted((r for r, _ in want.values()), key=str), load
+
+
+def test_upsert_into_a_folder_without_id_table(spark, tmp_path):
+    schema, target = "event_id int, day string, seq int", str(tmp_path / "old")
+    spark.createDataFrame([(1, "a", 1), (2, "a", 1), (3, "b", 1)], schema).write.partitionBy("day").parquet(target)
+    upsert(spark.createDataFrame([(1, "b", 2), (3, "c", 0)], schema), ["event_id"], "seq", path=target, partition_by=["day"])
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(target).select("event_id", "day", "seq").collect())
+    assert got == [(1, "b", 2), (2, "a", 1), (3, "b", 1)]
+
+
 def test_upsert_keeps_the_latest_delivery(spark, tmp_path):
     target = str(tmp_path / "t")
     first = [("a", "d1", 5, "a5"), ("a", "d1", 3, "a3"), ("b", "d1", 4, "b4"), ("c", "d2", 1, "c1"), (None, "d2", 1, "n1"), ("a", "d1", 5, "a5")]
