@@ -43,6 +43,7 @@ class PortScan:
     ips: int = 3
     exact: bool = True
     panes: bool = True  # sum per pane first; turn off for sparse traffic that repeats little within a slide
+    stream_panes: bool = False  # the same on streams, where it costs a level of state
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,7 @@ class Exfiltration:
     flows: int = 3
     internal: tuple[str, ...] = INTERNAL_PATTERNS
     panes: bool = True
+    stream_panes: bool = False
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,7 @@ class AlertBurst:
     severity_max: int = 2
     count: int = 3
     panes: bool = True
+    stream_panes: bool = False
 
 
 @dataclass(frozen=True)
@@ -120,7 +123,7 @@ def port_scan_counts(conns: DataFrame, cfg: PortScan = PortScan(), time_col: str
             sum0("network_bytes").alias("bytes"))
     flows = by_pane(
         conns, time_col, cfg.window, cfg.slide, ["source_ip", "destination_ip", "destination_port"],
-        {"n": F.lit(1), "b": or_zero("network_bytes")}, panes=cfg.panes)
+        {"n": F.lit(1), "b": or_zero("network_bytes")}, panes=cfg.panes, stream_panes=cfg.stream_panes)
     contacts = F.array(
         F.struct(F.lit(True).alias("is_ip"), F.col("destination_ip").alias("peer")),
         F.struct(F.lit(False).alias("is_ip"), F.col("destination_port").cast("string").alias("peer")))
@@ -203,7 +206,7 @@ def detect_exfiltration(
         ["source_ip", "destination_ip", *measures])
     flows = by_pane(
         scoped, time_col, cfg.window, cfg.slide, ["source_ip", "destination_ip"],
-        {"flows": F.col("_hit").cast("int"), **{m: or_zero(m) for m in measures}}, panes=cfg.panes)
+        {"flows": F.col("_hit").cast("int"), **{m: or_zero(m) for m in measures}}, panes=cfg.panes, stream_panes=cfg.stream_panes)
     per_pair = flows.groupBy(F.window(time_col, cfg.window, cfg.slide), "source_ip", "destination_ip").agg(
         *[F.sum(m).alias(m) for m in ["flows", *measures]])
     per_source = per_pair.groupBy("window", "source_ip").agg(
@@ -251,7 +254,7 @@ def detect_alert_burst(
     # One row per rule id first: the list below is then as long as the rule set, not as the alert volume.
     fired = by_pane(
         scoped, time_col, cfg.window, cfg.slide, ["source_ip", "rule_id"], {"n": F.col("_hit").cast("int")},
-        {"sample": F.col("destination_ip")}, panes=cfg.panes)
+        {"sample": F.col("destination_ip")}, panes=cfg.panes, stream_panes=cfg.stream_panes)
     per_rule = fired.groupBy(F.window(time_col, cfg.window, cfg.slide), "source_ip", "rule_id").agg(
         F.sum("n").alias("n"), F.min("sample").alias("sample"))
     per_source = per_rule.groupBy("window", "source_ip").agg(

@@ -120,11 +120,11 @@ def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _timed(_errors(_base(spark, sf_dir)), None)
 
 
-def conn_stream(spark: SparkSession, sf_dir: str, delay: str = "30 seconds") -> DataFrame:
+def conn_stream(spark: SparkSession, sf_dir: str, delay: str | None = "30 seconds") -> DataFrame:
     return _timed(_connections(_base_stream(spark, sf_dir)), delay)
 
 
-def ids_stream(spark: SparkSession, sf_dir: str, delay: str = "30 seconds") -> DataFrame:
+def ids_stream(spark: SparkSession, sf_dir: str, delay: str | None = "30 seconds") -> DataFrame:
     return _timed(_errors(_base_stream(spark, sf_dir)), delay)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from sentrylake.operators.search import recent_alerts
 from sentrylake.plans import adapter as a
 from sentrylake.schemas import ALERT_FIELDS, flat_name
 from sentrylake.session import shared_dir
+from sentrylake.streaming.eventtime import with_event_time
+from sentrylake.streaming.progress import progress_to, read_progress
 from sentrylake.streaming.run import drain, run_rules
 
 # The table holds few events per user and hour, so windows span hours and days instead of minutes.
@@ -35,10 +38,10 @@ def _batch(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _stream(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def _stream(name: str, rules: d.RuleSet = RULES) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         delay = f"{DELAY_SECONDS} seconds"
-        alerts = d.run_rule(name, a.conn_stream(spark, sf_dir, delay), a.ids_stream(spark, sf_dir, delay), RULES)
+        alerts = d.run_rule(name, a.conn_stream(spark, sf_dir, delay), a.ids_stream(spark, sf_dir, delay), rules)
         folder = shared_dir(spark, f"stream-{name}")
         return a.flat_arrays(drain(alerts, f"{folder}/out", f"{folder}/checkpoint"))
     return run
@@ -60,6 +63,32 @@ def _all_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).withColumnRenamed("count", "alert_count")
 
 
+def _stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read by two streaming queries, from the table of their progress."""
+    folder, delay = shared_dir(spark, "progress"), f"{DELAY_SECONDS} seconds"
+    with progress_to(spark, f"{folder}/progress"):
+        for name in ("top_talkers", "protocol_anomaly"):
+            alerts = d.run_rule(name, a.conn_stream(spark, sf_dir, delay), a.ids_stream(spark, sf_dir, delay), RULES)
+            drain(alerts, f"{folder}/{name}", f"{folder}/checkpoint-{name}", name=name)
+    rows = read_progress(spark, f"{folder}/progress")
+    return rows.groupBy("query").agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+
+
+def _stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per day and dataset of both streams together, of which each may be silent without holding back the other."""
+    delay, folder = f"{DELAY_SECONDS} seconds", shared_dir(spark, "volume")
+    # The present, as a stream: each event of the table happens now. One more, days later, closes the last day.
+    path = a.derived(spark, sf_dir, "clock", lambda p: a.conns(spark, sf_dir).agg(F.max("event_timestamp").alias("timestamp")).withColumn(
+        "timestamp", F.col("timestamp") + F.expr("INTERVAL 2 DAYS")).write.parquet(p))
+    clock = spark.readStream.schema("timestamp timestamp").parquet(path)
+    columns = ["event_timestamp", "event_dataset"]
+    both = [with_event_time(rows.select(*columns), delay=delay, idle="5 seconds", clock=clock) for rows in (
+        a.conn_stream(spark, sf_dir, None), a.ids_stream(spark, sf_dir, None).where("k < 0"))]
+    counts = both[0].unionByName(both[1]).groupBy(F.window("event_time", "1 day"), "event_dataset").agg(F.count("*").alias("event_count"))
+    found = drain(counts.select(F.col("window.start").alias("day"), "event_dataset", "event_count"), f"{folder}/out", f"{folder}/checkpoint")
+    return a.iso_text(found, "day")
+
+
 def _interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = a.ids(spark, sf_dir).select("source_ip", F.col("event_time").alias("t"), F.col("event_id").alias("alert_id"))
     right = a.conns(spark, sf_dir).select("source_ip", F.col("event_time").alias("u"), F.col("event_id"))
@@ -288,6 +317,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_correlation": _batch("correlation"),
     "rule_protocol_anomaly": _batch("protocol_anomaly"),
     "stream_port_scan": _stream("port_scan"),
+    "stream_port_scan_panes": _stream("port_scan", replace(RULES, port_scan=replace(RULES.port_scan, stream_panes=True))),
+    "stream_alert_burst_panes": _stream("alert_burst", replace(RULES, alert_burst=replace(RULES.alert_burst, stream_panes=True))),
+    "stream_progress": _stream_progress,
+    "stream_volume_idle": _stream_volume,
     "stream_top_talkers": _stream("top_talkers"),
     "stream_exfiltration": _stream("exfiltration"),
     "stream_alert_burst": _stream("alert_burst"),
@@ -309,6 +342,11 @@ ORACLES: dict[str, str] = {
     "rule_alert_burst": _alert_burst_sql(),
     "rule_correlation": _correlation_sql(),
     "rule_protocol_anomaly": _anomaly_sql(),
+    "stream_port_scan_panes": _port_scan_sql(_closed("conn")),
+    "stream_alert_burst_panes": _alert_burst_sql(_closed("ids")),
+    "stream_progress": a.sql("SELECT q AS query, count(*) AS input_rows, 0 AS late_rows FROM conn, (VALUES ('top_talkers'), ('protocol_anomaly')) v(q) GROUP BY q"),
+    "stream_volume_idle": a.sql(f"""SELECT strftime(time_bucket(INTERVAL 1 DAY, event_time), {a.ISO}) AS day, 'zeek.conn' AS event_dataset,
+      count(*) AS event_count FROM conn GROUP BY 1"""),
     "stream_port_scan": _port_scan_sql(_closed("conn")),
     "stream_top_talkers": _top_talkers_sql(_closed("conn")),
     "stream_exfiltration": _exfiltration_sql(_closed("conn")),

@@ -59,31 +59,35 @@ def _records(spark: SparkSession, source: dict[str, str], starting: str) -> Data
 
 
 def _read(spark: SparkSession, source: dict[str, str], schema: T.StructType, starting: str,
-          watermark: str | None) -> DataFrame:
+          watermark: str | None, idle: str | None) -> DataFrame:
     if starting not in ("earliest", "latest"):
         raise ValueError(starting)
     good, _ = split_quarantine(decode_json(_records(spark, source, starting), schema))
-    return with_event_time(good, "event_timestamp", watermark) if watermark else good
+    return with_event_time(good, "event_timestamp", watermark, idle) if watermark else good
 
 
 def read_conn_stream(
     spark: SparkSession, source: dict[str, str], starting: str = "earliest", watermark: str | None = "30 seconds",
+    idle: str | None = None,
 ) -> DataFrame:
     """Connection events as a stream.
 
     ``source`` is ``{"format": "kafka", "kafka.bootstrap.servers": ..., "subscribe": ...}`` (needs the connector on
     the class path) or ``{"path": folder}``, with further reader options. ``starting="latest"`` leaves out what was there
     before: on a bus by its offsets, in a folder by the write time of the files, from the source's ``since`` on.
-    ``watermark=None`` is the archive scan: an independent reader whose position is its own checkpoint.
+    ``watermark=None`` is the archive scan: an independent reader whose position is its own checkpoint. ``idle`` (such as
+    ``"5 seconds"``) lets event time go on while a live input is silent, see
+    :func:`sentrylake.streaming.eventtime.with_event_time`.
     """
-    return _read(spark, source, CONN_SCHEMA, starting, watermark)
+    return _read(spark, source, CONN_SCHEMA, starting, watermark, idle)
 
 
 def read_ids_stream(
     spark: SparkSession, source: dict[str, str], starting: str = "earliest", watermark: str | None = "30 seconds",
+    idle: str | None = None,
 ) -> DataFrame:
     """Intrusion alerts as a stream; see :func:`read_conn_stream`."""
-    return _read(spark, source, IDS_SCHEMA, starting, watermark)
+    return _read(spark, source, IDS_SCHEMA, starting, watermark, idle)
 
 
 def quarantined_stream(spark: SparkSession, source: dict[str, str], schema: T.StructType,
