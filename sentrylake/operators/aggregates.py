@@ -66,48 +66,50 @@ def _all_buckets(counts: DataFrame, step: str) -> DataFrame:
     return starts.select(F.timestamp_micros("start").alias("bucket"))
 
 
-_STRIDE = 8
-
-
-def _coarse(cuts: Column) -> Column:
-    return F.filter(cuts, lambda _, i: i % _STRIDE == _STRIDE - 1)
-
-
-def bucket_of(value: Column, cuts: Column, coarse: Column) -> Column:
-    """How many of the sorted cut points lie below the value; ``coarse`` is every 8th of them, to look at few."""
-    skip = F.size(F.filter(coarse, lambda c: c < value)) * _STRIDE
-    return skip + F.size(F.filter(F.slice(cuts, skip + 1, _STRIDE), lambda c: c < value))
-
-
-def _cut_points(value: str, buckets: int) -> Column:
-    steps = [i / buckets for i in range(1, buckets)]
-    return F.percentile_approx(value, F.array(*[F.lit(s) for s in steps]), F.lit(buckets * 20))
-
-
 def exact_percentiles(
-    df: DataFrame, by: list[str], value: str, probs: dict[str, float], buckets: int = 64,
+    df: DataFrame, by: list[str], value: str, probs: dict[str, float], accuracy: int = 10_000,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation between neighbours, one column per entry of ``probs``.
 
-    Works without bringing a group together: equal values are counted first, a bounded sketch cuts each group's values
-    into buckets, the bucket totals show which bucket holds each wanted rank, and only those buckets are sorted. The
-    sketch decides how even the buckets are, never the result.
+    Works without bringing a group together. A sketch of bounded size brackets each wanted rank between two values; the
+    second read counts what lies below, and only values between the brackets, about ``6 / accuracy`` of a group for each
+    percentile, are shuffled and sorted. The sketch's error is bounded, so a rank is never outside its brackets.
     """
     named = df.select(F.struct(*by).alias("g"), F.col(value).cast("double").alias("v"))
-    cuts = named.groupBy("g").agg(_cut_points("v", buckets).alias("cuts"))
-    found = _ranked(named, cuts, probs)
-    return found.select("g.*", *probs)
+    brackets = named.groupBy("g").agg(*_brackets("v", probs, accuracy))
+    return _ranked(named, brackets, probs).select("g.*", *probs)
 
 
-def _ranked(named: DataFrame, cuts: DataFrame, probs: dict[str, float]) -> DataFrame:
-    """(g, one column per entry of ``probs``) for rows (g, v), with each group's cut points: the second read of the rows."""
-    # The keys travel as one struct, which also keeps a group whose key is NULL through the joins.
-    points = cuts.select("g", "cuts", _coarse(F.col("cuts")).alias("coarse"))
-    tagged = named.where(F.col("v").isNotNull()).join(points, "g").select(
-        "g", "v", bucket_of(F.col("v"), F.col("cuts"), F.col("coarse")).alias("bucket"))
-    tagged = tagged.groupBy("g", "bucket", "v").agg(F.count("*").alias("n"))
+def _brackets(value: str, probs: dict[str, float], accuracy: int) -> list[Column]:
+    """Per group: values surely not above (``lo``) and not below (``hi``) each wanted rank and its neighbour.
+
+    From ``2 * accuracy`` values on the room of three times the sketch's error holds the neighbouring ranks, too; a group of
+    fewer is ``small`` and keeps all its values.
+    """
+    room = 3 / accuracy
+    sides = {"lo": [max(0.0, p - room) for p in probs.values()], "hi": [min(1.0, p + room) for p in probs.values()]}
+    return [(F.count(value) < 2 * accuracy).alias("small"), *[
+        F.percentile_approx(value, F.array(*[F.lit(q) for q in qs]), F.lit(accuracy)).alias(side) for side, qs in sides.items()]]
+
 
-    group = Window.partitionBy("g")  # at most ``buckets`` rows per group
+def _ranked(named: DataFrame, brackets: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """(g, one column per entry of ``probs``) for rows (g, v), with each group's brackets: the second read of the rows.
+
+    The brackets cut a group's values into stretches. Those between brackets keep their values, of the others only the
+    number of rows is needed.
+    """
+    # The keys travel as one struct, which also keeps a group whose key is NULL through the joins.
+    tagged = named.where(F.col("v").isNotNull()).join(brackets.select("g", "small", "lo", "hi"), "g")
+    n = range(len(probs))
+    # The least sketched value is no bound below the first rank of a group; the greatest none above the last.
+    edges = [0.0 if p <= 0 else 1.0 if p >= 1 else p for p in probs.values()]
+    reached = sum((F.col("small") | F.lit(edges[i] == 0.0) | (F.col("v") >= F.col("lo")[i])).cast("int") for i in n)
+    passed = sum((~F.col("small") & F.lit(edges[i] < 1.0) & (F.col("v") > F.col("hi")[i])).cast("int") for i in n)
+    stretches = tagged.select("g", reached.alias("a"), passed.alias("b"), "v").select(
+        "g", (F.col("a") + F.col("b")).alias("bucket"), F.when(F.col("a") > F.col("b"), F.col("v")).alias("v"))
+    tagged = stretches.groupBy("g", "bucket", "v").agg(F.count("*").alias("n"))
+
+    group = Window.partitionBy("g")  # at most two rows per group and percentile, and one
     totals = tagged.groupBy("g", "bucket").agg(F.sum("n").alias("m")).select(
         "g", "bucket", "m",
         F.coalesce(F.sum("m").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -131,36 +133,40 @@ def _ranked(named: DataFrame, cuts: DataFrame, probs: dict[str, float]) -> DataF
         for name, s in spot.items()])
 
 
+def run_sketches(samples: DataFrame, by: list[str], value: str = "sample_ms", size: int = 2000) -> DataFrame:
+    """One row per group with a quantile ``sketch`` of its values, to be stored with the run it belongs to.
+
+    A sketch takes some ``14 * size`` bytes however many values it stands for; ranks read from it, or from any number of them
+    merged, are wrong by about ``2 / size`` at most. NULL values are left out.
+    """
+    known = samples.where(F.col(value).isNotNull())
+    return known.groupBy(*by).agg(F.expr(f"kll_sketch_agg_double(CAST(`{value}` AS DOUBLE), {size})").alias("sketch"),
+                                  F.count("*").alias("iterations"))
+
+
+def sketched_percentiles(sketches: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """Percentiles of all values that the stored sketches of a group stand for, without reading the values again."""
+    merged = sketches.groupBy(*by).agg(F.expr("kll_merge_agg_double(sketch)").alias("_all"), F.sum("iterations").alias("iterations"))
+    return merged.select(*by, "iterations", *[
+        F.expr(f"kll_sketch_get_quantile_double(_all, {float(p)}D)").alias(name) for name, p in probs.items()])
+
+
 def latency_summary(samples: DataFrame, by: list[str], value: str = "sample_ms", digits: int = 3) -> DataFrame:
     """Latency statistics per group: samples, mean, 50th/95th/99th percentile, minimum, maximum."""
-    # One read gives the plain figures and the cut points, a second the percentiles. A group without a value keeps its row.
+    # One read gives the plain figures and the brackets, a second the percentiles. A group without a value keeps its row.
+    probs = {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99}
     named = samples.select(F.struct(*by).alias("g"), F.col(value).alias("x"), F.col(value).cast("double").alias("v"))
     plain = named.groupBy("g").agg(
         F.count("x").alias("iterations"), F.avg("x").alias("avg_ms"), F.min("x").alias("min_ms"), F.max("x").alias("max_ms"),
-        _cut_points("v", 64).alias("cuts"))
-    ranks = _ranked(named, plain, {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99})
-    both = plain.drop("cuts").join(ranks, "g", "left")
+        *_brackets("v", probs, 10_000))
+    both = plain.join(_ranked(named, plain, probs), "g", "left")
     stats = ["avg_ms", "p50_ms", "p95_ms", "p99_ms", "min_ms", "max_ms"]
     return both.select("g.*", "iterations", *[F.round(F.col(c).cast("double"), digits).alias(c) for c in stats])
 
 
-def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:
-    """Number the rows 0, 1, 2, ... in the order of a unique numeric column without sorting them in one task.
-
-    Cut points of the key split the rows into buckets, by default one for each million rows and 64 at least; the bucket
-    totals give each bucket its first number, and rows are numbered inside their bucket.
-    """
-    buckets = buckets or max(64, df.count() // 1_000_000)
-    cuts = sorted(set(df.approxQuantile(key, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))))
-    points = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    tagged = df.withColumn("_bucket", bucket_of(F.col(key).cast("double"), points, _coarse(points)))
-    starts = tagged.groupBy("_bucket").agg(F.count("*").alias("_m")).select(
-        "_bucket",
-        F.coalesce(F.sum("_m").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_first"))
-    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
-    # ``starts`` has at most ``buckets`` rows by construction.
-    return tagged.join(F.broadcast(starts), "_bucket").withColumn(name, F.col("_first") + place).drop("_bucket", "_first")
+def row_index(df: DataFrame, key: str, name: str = "row_index") -> DataFrame:
+    """Number the rows 0, 1, 2, ... in the order of a column without sorting them in one task."""
+    return row_number_from_one(df, [key], name).withColumn(name, (F.col(name) - 1).cast("bigint"))
 
 
 def row_number_from_one(df: DataFrame, order_by: list[str], name: str) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.operators import runs as r
-from sentrylake.operators.aggregates import corpus_summary, exact_percentiles, latency_summary, row_index
+from sentrylake.operators.aggregates import (
+    corpus_summary, exact_percentiles, latency_summary, row_index, run_sketches, sketched_percentiles)
 from sentrylake.operators.corpus import derive_alerts, scale_out
 from sentrylake.plans import adapter as a
+from sentrylake.session import shared_dir
 from sentrylake.plans.investigate import ALERTS_CTE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +122,16 @@ def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("event_original", "$['destination.ip']").alias("original_destination"))
 
 
+def _sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the p95 of all runs, from the sketch stored with each, lies within the sketch's bound of the exact rank."""
+    samples, path = _samples(spark, sf_dir), shared_dir(spark, "sketches")
+    run_sketches(samples, ["run_id", "query"]).write.parquet(path)
+    found = sketched_percentiles(spark.read.parquet(path), ["query"], {"p95": 0.95})
+    near = samples.join(found, "query").groupBy("query", "iterations").agg(
+        (F.count_if(F.col("sample_ms") < F.col("p95")) / F.count("*")).alias("below"), (F.count_if(F.col("sample_ms") <= F.col("p95")) / F.count("*")).alias("upto"))
+    return near.select("query", "iterations", ((F.col("below") <= 0.951) & (F.col("upto") >= 0.949)).alias("within_bound"))
+
+
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.iso_text(corpus_summary(a.corpus(spark, sf_dir)), "time_range_start", "time_range_mid", "time_range_end")
 
@@ -133,6 +145,7 @@ QUERIES: dict[str, Query] = {
     "latency_summary": _latency,
     "concurrency_summary": _concurrency,
     "exact_percentiles": _percentiles,
+    "sketched_percentiles": _sketched,
     "compare_runs": _compare,
     "alias_map": _alias,
     "scaling_report": _scaling,
@@ -164,6 +177,7 @@ def _stats(keys: str, n: str) -> str:
 ORACLES: dict[str, str] = {
     "latency_summary": _stats("run_id, query", "iterations"),
     "concurrency_summary": _stats("node_count AS concurrency", "request_count"),
+    "sketched_percentiles": f"WITH {_SAMPLES} SELECT query, count(*) AS iterations, true AS within_bound FROM samples GROUP BY query",
     "exact_percentiles": """
       SELECT l_returnflag, l_linestatus, quantile_cont(l_quantity, 0.1) AS p10, quantile_cont(l_quantity, 0.5) AS p50,
         quantile_cont(l_quantity, 0.99) AS p99 FROM lineitem GROUP BY 1, 2""",

@@ -47,6 +47,29 @@ def test_exact_percentiles(spark, kind):
             assert x[name] == pytest.approx(linear(groups[x.k], p), rel=1e-12), (x.k, name)
 
 
+def test_exact_percentiles_of_a_large_group(spark):
+    """More values than the sketch keeps, with few and with many percentiles."""
+    values = spark.range(200_000).select(F.pmod(F.xxhash64("id"), F.lit(1_000_000)).cast("double").alias("v"), (F.col("id") % 2).alias("k"))
+    probs = {f"p{i}": i / 20 for i in range(21)}
+    built_in = values.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()]).orderBy("k").collect()
+    got = g.exact_percentiles(values, ["k"], "v", probs, accuracy=200).orderBy("k").collect()
+    for x, y in zip(got, built_in, strict=True):
+        assert list(x) == pytest.approx(list(y), rel=1e-12)
+
+
+def test_stored_sketches_of_three_runs(spark, tmp_path):
+    values = spark.range(90_000).select((F.col("id") % 3).alias("run"), F.lit("q").alias("query"), F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("double").alias("sample_ms"))
+    for run in range(3):  # each run stores its own
+        g.run_sketches(values.where(f"run = {run}"), ["run", "query"]).write.mode("append").parquet(str(tmp_path / "sketches"))
+    stored = spark.read.parquet(str(tmp_path / "sketches"))
+    row = g.sketched_percentiles(stored, ["query"], {"p50": 0.5, "p95": 0.95}).first()
+    assert row.iterations == 90_000
+    for name, p in (("p50", 0.5), ("p95", 0.95)):
+        rank = values.where(F.col("sample_ms") <= row[name]).count() / 90_000
+        assert abs(rank - p) <= 2 / 2000
+    assert g.run_sketches(values.where("false"), ["run"]).count() == 0
+
+
 def test_latency_summary(spark):
     rows = spark.createDataFrame([("q", float(i)) for i in range(5)] + [(None, 1.0), ("none", None)], "query string, sample_ms double")
     found = {x.query: x for x in g.latency_summary(rows, ["query"]).collect()}
