@@ -92,7 +92,8 @@ def random_samples(spark, n: int) -> DataFrame:
 def train(docs: DataFrame, text_column: str = "text", samples: int = 4000, smoothing: float = 0.5) -> dict[str, float]:
     """Log-likelihood ratio (random over ordinary) of each pair of characters; at most ``len(ALPHABET) ** 2`` entries.
 
-    All texts are read. ``samples`` bounds only the strings made by rule. Pairs never seen get the smoothed rate.
+    All texts are read; null texts count as empty, repeated rows each for itself, and without any text the strings made by
+    rule remain. ``samples`` bounds only those. Pairs never seen get the smoothed rate.
     """
     texts = docs.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     # The three patterns that label a value as random, without their places in the text.
@@ -101,7 +102,9 @@ def train(docs: DataFrame, text_column: str = "text", samples: int = 4000, smoot
                               F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
                               F.regexp_extract_all("text", F.lit(HEX), F.lit(0))))
     random = texts.select(F.explode(found).alias("value")).unionByName(random_samples(docs.sparkSession, samples))
-    ordinary = texts.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_ORDINARY), F.lit(0))))
+    # What a text assigns as a secret is no ordinary string, wherever else in the text it stands.
+    secret = F.filter(assigned, lambda v: F.length(v) >= 8)
+    ordinary = texts.select(F.explode(F.array_except(F.regexp_extract_all("text", F.lit(_ORDINARY), F.lit(0)), secret))
                             .alias("value")).where(~F.col("value").rlike(f"{HEX}|{ACCESS}"))
     counts = _pairs(random).select("pair", F.lit("random").alias("label"), "n").unionByName(
         _pairs(ordinary).select("pair", F.lit("ordinary").alias("label"), "n"))

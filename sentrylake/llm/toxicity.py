@@ -156,7 +156,8 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, positives: int,
     """At most ``positives`` + ``negatives`` labelled texts for which ``usable`` holds, by the smallest hash of their id.
 
     Columns: text, label, weight (rows of the class for each row taken), half. An id that is labelled twice counts as
-    toxic if one label says so. Null ids and null labels are left out. The bounded list of ids is broadcast.
+    toxic if one label says so; of texts with the same id one is taken, that with the smallest hash. Null ids and null labels
+    are left out. The bounded list of ids is broadcast.
     """
     known = labels.where(usable & F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
     known = cut(known.groupBy(F.col(id_column).alias("id")).agg((F.max(label_column) > 0).cast("int").alias("label")),
@@ -168,7 +169,8 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, positives: int,
         parts.append(taken.withColumn("weight", F.lit(max(1.0, rows.count() / most))))
     ids = parts[0].unionByName(parts[1])
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    joined = texts.join(F.broadcast(ids), "id")
+    joined = texts.join(F.broadcast(ids), "id").groupBy("id", "label", "weight").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     return joined.select("text", "label", "weight", (F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("half"))
 
 

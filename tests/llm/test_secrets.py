@@ -110,3 +110,12 @@ def test_short_keys_are_scored(spark, model):
     plain = ["see configuration2024 of understandable", "in http2_server_1 and version_2_0_1", "1234-5678-9012", "chapter-12-part"]
     frame = spark.createDataFrame([(t,) for t in plain], "text string")
     assert [r.text for r in secrets.scan(frame, model=model).where("size(secrets.spans) > 0").collect()] == []
+
+
+def test_assigned_values_are_not_learned_as_ordinary(spark):
+    """Many assigned keys of one alphabet raise its ratio; learned on both sides they would leave it as it is."""
+    keys = [f"qx{i:04d}qxzqxzqxz" for i in range(3000)]
+    texts = [(f'token = "{k}" and some plain words here',) for k in keys]
+    plain = [("and some plain words here",) for _ in keys]
+    with_keys, without = (secrets.train(spark.createDataFrame(rows, "text string").repartition(2)) for rows in (texts, plain))
+    assert with_keys["qx"] > without["qx"] + 1 and with_keys["xz"] > without["xz"] + 1

@@ -80,3 +80,28 @@ def test_edge_rows_and_missing_labels(spark):
 def test_query_shape(spark):
     rows = op3_toxicity(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_the_sample_is_bounded_where_an_id_repeats(spark):
+    docs = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 90).alias("text"))
+    docs = docs.unionByName(spark.range(200).select(F.col("id").alias("doc_id"), F.lit("other").alias("text")))
+    labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    rows = toxicity.labelled(docs, labels, F.lit(True), 100, 100)
+    assert rows.count() == 200
+    assert rows.where("text <> 'other'").count() <= 1
+
+
+def plain_score(text, model):
+    """The score from the features of one text, without Spark."""
+    found = np.array(toxicity.Reader(model).features(text.encode() if text is not None else None))
+    bias, *weights = model.weights
+    return 1 / (1 + np.exp(-(bias + sum(w * np.log1p(x) for w, x in zip(weights, found, strict=True)))))
+
+
+def test_scores_are_the_logistic_of_the_features(spark):
+    model = toxicity.Model()
+    texts = ["", None, "you are an idiot", "He said you are an idiot.", "you are not stupid", "the weather is fine", "I will kill you"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    got = {r.doc_id: r.s for r in toxicity.score(docs, model, out="s").collect()}
+    for i, text in enumerate(texts):
+        assert abs(got[i] - plain_score(text, model)) < 1e-9
