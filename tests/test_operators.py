@@ -11,7 +11,7 @@ from sentrylake.operators import filters as f
 from sentrylake.operators import runs as r
 from sentrylake.operators import search as s
 from sentrylake.operators.corpus import derive_alerts, multiplier, scale_out
-from sentrylake.operators.detections import PORT_SCAN_RULE, PortScan, TopTalkers, all_alerts, detect_port_scan
+from sentrylake.operators.detections import PORT_SCAN_RULE, Correlation, PortScan, RuleSet, TopTalkers, all_alerts, detect_port_scan
 from sentrylake.operators.joins import alert_latency, count_delta, evidence_for, heavy_keys, interval_join, missing_rules
 from sentrylake.schemas import CONN_SCHEMA, IDS_SCHEMA, LAKE_SCHEMA
 
@@ -269,8 +269,12 @@ def test_plans(spark, tmp_path):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        alerts = all_alerts(lake, lake).withColumn("alert_id", F.col("message"))
-        frames = [alerts, evidence_for(alerts, lake), g.latency_summary(lake, ["source_ip"], "network_bytes"),
+        alerts = all_alerts(lake, lake, RuleSet(correlation=Correlation(salt=1))).withColumn("alert_id", F.col("message"))
+        # Where salts are measured, the sketch's few heavy keys are broadcast, once for each side, and nothing else.
+        for text in map(plan, (evidence_for(alerts, lake), all_alerts(lake, lake))):
+            assert "approx_top_k" in text and text.count("BroadcastHashJoin") == 2
+            assert not any(x in text for x in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"))
+        frames = [alerts, evidence_for(alerts, lake, salt=1), g.latency_summary(lake, ["source_ip"], "network_bytes"),
                   s.match_fuzzy(lake, "message", "connectio"), s.match_trigram(lake, "message", "ssl tcp")]
         for text in map(plan, frames):
             assert not any(x in text for x in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "BroadcastExchange"))
