@@ -62,7 +62,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3)
 
 
 def plan(drawn: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
-    """One row per source: target, whole epochs, and the last bucket and place that the fractional epoch takes."""
+    """One row per source: target, whole epochs, and the last bucket and place that the fractional epoch takes.
+
+    At the last place may stand rows that repeat id and text: ``last.copies`` of them, of which ``last.fit`` are taken.
+    """
     source = ["source", "no_source"]
     sums = cut(drawn.groupBy(*source, "bucket").agg(F.sum("size").alias("size")), "mix-buckets")
     sizes = cut(targets(sums.groupBy(*source).agg(F.sum("size").alias("source_size")), weights, most), "mix-targets")
@@ -79,13 +82,26 @@ def plan(drawn: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) ->
     edge = cut(edge, "mix-edges")
     inside = drawn.select(*source, "bucket", "key", "size").join(
         edge.withColumnRenamed("edge", "bucket"), [*source, "bucket"])
+    inside = inside.groupBy(*source, "room", "key", "size").agg(F.count("*").alias("copies"))
     ordered = W.partitionBy(*source).orderBy("key", "size").rowsBetween(W.unboundedPreceding, -1)
-    inside = inside.withColumn("before", F.coalesce(F.sum("size").over(ordered), F.lit(0)))
+    inside = inside.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(ordered), F.lit(0)))
+    fit = F.when(F.col("size") > 0, F.least(F.col("copies"), F.floor((F.col("room") - F.col("before")) / F.col("size") + 0.5)))
     last = inside.where(F.col("before") + F.col("size") / 2 <= F.col("room")).groupBy(*source).agg(
-        F.max(F.struct("key", "size")).alias("last"))
+        F.max(F.struct("key", "size", "copies", F.coalesce(fit, "copies").alias("fit"))).alias("last"))
     return cut(sizes.drop("left").join(edge.drop("room"), source, "left").join(last, source, "left"), "mix-plan")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``number``, from 1, to the rows of each source, counted by the parts they are written in and then within a part."""
+    source, part = ["source", "no_source"], F.shiftright("place", 33)
+    written = cut(rows.withColumn("place", F.monotonically_increasing_id()), "mix-ties").withColumn("part", part)
+    upto = W.partitionBy(*source).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    first = written.groupBy(*source, "part").count().withColumn("first", F.coalesce(F.sum("count").over(upto), F.lit(0)))
+    own = F.row_number().over(W.partitionBy(*source, "part").orderBy("place"))
+    return written.withColumn("own", own).join(first.drop("count"), [*source, "part"]).withColumn(
+        "number", F.col("first") + F.col("own")).drop("place", "part", "own", "first")
+
+
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
         weights: tuple[int, ...] = WEIGHTS, most: int = 3, quality: Column | None = None, seed: int = 17,
         buckets: int = 4096) -> DataFrame:
@@ -93,15 +109,20 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
 
     A source first takes whole epochs of all its documents, then documents by key while at least half of the next one
     fits what is left. ``epochs`` says how often a document is taken, ``taken`` how many words that makes. The draw
-    depends on the seed, the id and the text alone, so reruns agree; rows that repeat both are taken or left together. A
-    null text has size 0; null sources form one source; sources without words have target 0 and take nothing. An empty
+    depends on the seed, the id and the text alone, so reruns agree; of rows that repeat both at the end of the budget, as
+    many are taken as fit, and which of them is not determined. A null text has size 0; null sources form one source; sources without words have target 0 and take nothing. An empty
     table gives an empty result. All other columns pass through.
     """
     drawn = _drawn(docs, id_column, text_column, source_column, quality, seed, buckets)
     small = cut(drawn.drop("row"), "mix-keys")
-    chosen = drawn.join(plan(small, weights, most), ["source", "no_source"])
-    partly = F.when(F.col("bucket") < F.col("edge"), 1).when(
-        (F.col("bucket") == F.col("edge")) & (F.struct("key", "size") <= F.col("last")), 1).otherwise(0)
+    planned = plan(small, weights, most)
+    pair, last = F.struct("key", "size"), F.struct("last.key", "last.size")
+    chosen = drawn.join(planned, ["source", "no_source"])
+    partly = F.when(F.col("bucket") < F.col("edge"), 1).when((F.col("bucket") == F.col("edge")) & (pair <= last), 1).otherwise(0)
+    if not planned.where("last.fit < last.copies").isEmpty():
+        at_end = F.coalesce((pair == last) & (F.col("last.fit") < F.col("last.copies")), F.lit(False))
+        chosen = chosen.where(~at_end).withColumn("number", F.lit(0).cast("long")).unionByName(_numbered(chosen.where(at_end)))
+        partly = F.when(F.col("number") > F.col("last.fit"), 0).otherwise(partly)
     epochs = F.col("epochs") + partly
     result = F.struct("size", "source_size", "target", epochs.alias("epochs"), (F.col("size") * epochs).alias("taken"))
     kept = [c for c in docs.columns if c != "mix"]

@@ -68,6 +68,19 @@ def test_mix_meets_its_targets(spark):
     assert sorted(map(key, rows)) == sorted(map(key, finer))
 
 
+def test_rows_that_repeat_id_and_text_fill_the_budget(spark):
+    """Each is taken or left for itself, in whichever parts of the table they lie."""
+    rows = [(1, "one two three four five six", "a")] * 1000 + [(i, "x " * 6, "b") for i in range(2, 1002)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("place", F.lit("clash")).repartition(7)
+    for weights in ((5, 2), (2, 5), (1, 3)):
+        got = mixing.mix(docs, weights=weights).collect()
+        assert len(got) == 2000 and {r.place for r in got} == {"clash"}
+        for source in "ab":
+            own = [r.mix for r in got if r.source == source]
+            assert abs(sum(m.taken for m in own) - own[0].target) <= 3
+            assert {m["size"] for m in own} == {6}
+
+
 def test_quality_raises_the_chance(spark):
     rows = [(i, "good " * 10 if i % 2 else "1234 " * 10, "a") for i in range(4000)] + [(9000 + i, "z " * 9000, "b") for i in range(9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
