@@ -105,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_url_filters": op12_url_filters,
     "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES: dict[str, str] = {"op12_url_filters": url_filters.oracle_sql(url_filters.RULES)}
+ORACLES: dict[str, str] = {
+    "op8_embedding_near_dedup": vector_dedup.oracle_sql(), "op12_url_filters": url_filters.oracle_sql(url_filters.RULES)}

@@ -184,3 +184,23 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_column: str = "
     alone = found.where("not takes").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return keyed.unionByName(alone).select(
         F.col("id").alias(id_column), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def oracle_sql(threshold: float = 0.93) -> str:
+    """The registered query's rows as SQL, for ids that do not repeat: all pairs of a class, and all that links reach."""
+    return f"""
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        usable AS (SELECT *, list_inner_product(v, v) AS square FROM vectors WHERE list_inner_product(v, v) > 0),
+        links AS (
+            SELECT a.id AS a, b.id AS b
+            FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.id <> b.id
+            WHERE list_inner_product(a.v, b.v) / sqrt(a.square * b.square) >= {threshold}),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        lowest AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
+        degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least(vec_id, root), vec_id) AS component_id,
+               root IS NULL OR vec_id <= root AS kept
+        FROM embeddings LEFT JOIN lowest ON vec_id = lowest.a LEFT JOIN degrees ON vec_id = degrees.a"""

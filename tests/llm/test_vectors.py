@@ -1,6 +1,8 @@
 import math
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,18 @@ def test_near_vectors_match_all_pairs(spark, room, chunk, rows):
     assert sum(n > 0 for n, _ in want.values()) > 80
 
 
+def test_sql_states_the_same_rows():
+    data = [(i, v.tolist(), int(i % 3 == 0)) for i, v in enumerate(clustered())] + odd_rows()
+    ids, vectors, labels = zip(*data, strict=True)
+    with duckdb.connect() as db:
+        db.register("embeddings", pa.table({"vec_id": ids, "embedding": pa.array(vectors, pa.list_(pa.float32())), "label": labels}))
+        got = db.sql(vector_dedup.oracle_sql()).fetchall()
+    want = plain_links(data, 0.93)
+    assert len(got) == len(data)
+    for i, links, component, kept in got:
+        assert (links, component) == want.get(i, (0, i)) and kept == (i == component)
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 64))
