@@ -43,7 +43,7 @@ class Pieces:
     are put together by offsets. A longer run of white space or of other characters is never cut.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -69,8 +69,15 @@ class Pieces:
         self.used, self.begins, self.ends = self.used[keep] // 2, self.begins[keep], self.ends[keep]
 
     def _encode(self, parts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in found]
+        """The ids of each part. What the tokenizer returns is many times as large, so it is asked for some parts at a time."""
+        out, first, size = [], 0, 0
+        for at, part in enumerate(parts, 1):
+            size += len(part)
+            if size >= 1 << 18 or at == len(parts):
+                found = self.tokenizer.encode_batch_fast(parts[first:at], add_special_tokens=False)
+                out += [np.array(e.ids, "<u4") for e in found]
+                first, size = at, 0
+        return out
 
     def _entries(self, words: list[str]) -> np.ndarray:
         """The number of each part; new ones are tokenised, plain words many at once with a line feed between them."""
@@ -174,7 +181,7 @@ def _parted(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), ends
 
 
-def _in_runs(pieces: Pieces, texts: pa.Array, size: int = 4_000_000) -> Iterator[np.ndarray]:
+def _in_runs(pieces: Pieces, texts: pa.Array, size: int = 2_000_000) -> Iterator[np.ndarray]:
     """Ids of each text, taken together in runs of about ``size`` bytes."""
     lengths = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
