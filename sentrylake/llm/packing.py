@@ -181,8 +181,11 @@ def _parted(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), ends
 
 
-def _in_runs(pieces: Pieces, texts: pa.Array, size: int = 2_000_000) -> Iterator[np.ndarray]:
-    """Ids of each text, taken together in runs of about ``size`` bytes."""
+def _in_runs(pieces: Pieces, texts: pa.Array, size: int = 1_000_000) -> Iterator[np.ndarray]:
+    """Ids of each text, taken together in runs of about ``size`` bytes.
+
+    The worker lives on and serves later stages, so memory that Arrow keeps for the parts of a run is given back after all.
+    """
     lengths = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):
@@ -191,6 +194,7 @@ def _in_runs(pieces: Pieces, texts: pa.Array, size: int = 2_000_000) -> Iterator
         ids, ends = pieces.ids(texts.slice(start, stop - start))
         yield from np.split(ids, ends[:-1])
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def pieces_of(path: str) -> Pieces:
