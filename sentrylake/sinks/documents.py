@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -80,7 +81,14 @@ def write_by(df: DataFrame, column: str, path: str, fmt: str = "json") -> None:
 
 
 def write_results(df: DataFrame, path: str) -> None:
-    """A result table as JSON and as CSV with a header; nested samples appear in JSON only."""
+    """A result table as JSON and as CSV with a header; nested samples appear in JSON only. Both are of one computation."""
     flat = [f.name for f in df.schema if f.dataType.typeName() not in ("array", "struct", "map")]
-    df.write.mode("overwrite").json(f"{path}/json")
-    df.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    own = df.storageLevel == StorageLevel.NONE  # what the caller keeps stays kept
+    if own:
+        df.persist(StorageLevel.DISK_ONLY)
+    try:
+        df.write.mode("overwrite").json(f"{path}/json")
+        df.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    finally:
+        if own:
+            df.unpersist()

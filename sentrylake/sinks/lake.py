@@ -29,13 +29,12 @@ FILE_OPTIONS = _bloom(BLOOM_COLUMNS)
 def spread(df: DataFrame, keys: list[str], writers: int | None = None) -> DataFrame:
     """Bring the rows of a partition together for few, large files, without one task taking a whole busy partition.
 
-    Batch plans let Spark split and merge at run time (rebalance). A stream cannot re-plan, so each partition's rows
-    go to ``writers`` tasks, by default as many as the session shuffles with, chosen by row content so that a retried
-    task repeats the choice.
+    Spark splits and merges at run time, by the bytes of the batch or of each trigger (rebalance). It does not re-plan
+    streams that keep state: give ``writers`` for those, the number of tasks that each partition's rows go to, chosen by row
+    content so that a retried task repeats the choice.
     """
-    if not df.isStreaming:
+    if writers is None:
         return df.hint("rebalance", *keys)
-    writers = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = F.pmod(F.xxhash64("event_timestamp", "event_original", "message"), F.lit(writers))
     return df.repartition(*[F.col(k) for k in keys], writer)
 
@@ -49,7 +48,8 @@ def write_lake(
     Files are sorted by time, so that a reader skips row groups by time range, and carry Bloom filters of the addresses
     and connection ids, so that it skips them by equality.
 
-    A stream commits at every trigger and continues from ``checkpoint``. ``table`` names a catalog table to append to
+    A stream commits at every trigger and continues from ``checkpoint``; its files are as many as a trigger's bytes need,
+    see :func:`spread` for streams that keep state. ``table`` names a catalog table to append to
     instead of the folder. ``cluster_by`` (batches only) orders each partition along a space-filling curve of these columns
     instead of time, for tables that are searched by any of them; see :mod:`sentrylake.operators.layout`.
     """

@@ -1,5 +1,6 @@
 import datetime
 import random
+from collections import Counter
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -153,3 +154,34 @@ def test_empty_lake(spark, tmp_path):
     spark.createDataFrame([], LAKE_SCHEMA).write.parquet(str(tmp_path / "lake"))
     assert newest_first(spark, str(tmp_path / "lake"), 5).count() == 0
     assert volume(spark, str(tmp_path / "lake")).count() == 0
+
+
+@pytest.mark.parametrize("watermark", [False, True])
+def test_files_of_a_stream_follow_its_bytes(spark, tmp_path, watermark):
+    rows = events(spark, days=3, per_day=6000)
+    busy = F.when(F.rand(1) < 0.9, F.lit("2024-03-01 10:00:00").cast("timestamp")).otherwise(F.col("event_timestamp"))
+    rows = rows.withColumns({"event_timestamp": busy, "message": F.concat(F.sha2("message", 512), F.sha2("source_ip", 512))})
+    rows.write.parquet(str(tmp_path / "in"))
+
+    def written(name, **kw):
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        stream = stream.withWatermark("event_timestamp", "1 minute") if watermark else stream
+        write_lake(stream, str(tmp_path / name), str(tmp_path / f"{name}-log"), **kw).awaitTermination()
+        got = read_lake(spark, str(tmp_path / name))
+        wanted = spark.read.parquet(str(tmp_path / "in")).select("event_timestamp", "event_dataset", "message")
+        assert got.count() == 18_000 and got.select(*wanted.columns).exceptAll(wanted).isEmpty()
+        return Counter(f.parent for f in (tmp_path / name).rglob("*.parquet"))
+
+    names = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        assert set(written("few").values()) == {1}
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128k")
+        split = written("split")
+        assert len(split) == 6 and max(split.values()) >= 4 and sum(split.values()) < 60  # the busy date in several tasks
+        assert max(written("dealt", writers=3).values()) == 3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -6,6 +6,7 @@ from datetime import datetime
 import plain_rules as plain
 import pyarrow.parquet as pq
 import pytest
+from pyspark import StorageLevel
 from fixture_rows import CONNS, IDS, batch, conn, write_lines
 
 from sentrylake.schemas import CONN_SCHEMA, IDS_SCHEMA, LAKE_SCHEMA, align, to_dotted, to_flat, union_events
@@ -293,6 +294,15 @@ def test_keys_and_results(spark, tmp_path):
     write_results(ids.select("rule_id", "related_ip"), str(tmp_path / "r"))
     assert spark.read.option("header", True).csv(str(tmp_path / "r/csv")).columns == ["rule_id"]
     assert spark.read.json(str(tmp_path / "r/json")).count() == 1
+    drawn = spark.range(50).select("id", F.uuid().alias("u"))  # another computation would draw others
+    for kept in (False, True):
+        if kept:
+            drawn.persist()
+        write_results(drawn, str(tmp_path / "u"))
+        csv, again = spark.read.option("header", True).csv(str(tmp_path / "u/csv")), spark.read.json(str(tmp_path / "u/json"))
+        assert csv.select("u").exceptAll(again.select("u")).isEmpty() and csv.count() == 50
+        assert (drawn.storageLevel != StorageLevel.NONE) == kept
+    drawn.unpersist()
 
 
 def test_alert_documents_in_batch_and_stream(spark, tmp_path):
