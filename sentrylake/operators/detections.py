@@ -22,7 +22,7 @@ from sentrylake.functions.net import INTERNAL_PATTERNS, is_internal
 from sentrylake.operators.joins import interval_join
 from sentrylake.operators.windows import by_pane
 
-# Rule names, categories and the default thresholds.
+# Rule names, categories and the default thresholds; in the rules below, the sentences and evidence texts of alerts.
 PORT_SCAN_RULE = RuleMeta("zeek.port_scan", "reconnaissance", ("network",), ("indicator", "connection"))
 TOP_TALKER_RULE = RuleMeta("zeek.top_talker", "network_volume", ("network",), ("indicator",))
 EXFILTRATION_RULE = RuleMeta(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentrylake.functions.net import with_internal_flags
 from sentrylake.operators.aggregates import count_by, lake_counts
 from sentrylake.operators.detections import detect_protocol_anomaly
 from sentrylake.operators.filters import ip_pivot
@@ -177,7 +178,15 @@ def _ingest_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many events a limited ingest takes from either log."""
     conns, _ = read_conn_log(spark, _conn_lines(spark, sf_dir), limit=100)
     ids, _ = read_ids_blocks(spark, _ids_blocks(spark, sf_dir), year=2024, newline="\n", limit=10)
-    return conns.agg(F.count("*").alias("conn_count")).join(ids.agg(F.count("*").alias("ids_count")), F.lit(True))
+    both = conns.select(F.lit(1).alias("conn"), F.lit(0).alias("ids")).unionByName(ids.select(F.lit(0).alias("conn"), F.lit(1).alias("ids")))
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"{c}_count") for c in ("conn", "ids")])
+
+
+def _internal_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connections and bytes by whether either side is internal."""
+    flagged = with_internal_flags(a.conns(spark, sf_dir))
+    return flagged.groupBy("source_is_internal", "destination_is_internal").agg(
+        F.count("*").alias("event_count"), F.sum("network_bytes").alias("network_bytes"))
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> str:
@@ -344,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "lake_files": _lake_files,
     "lake_snapshots": _lake_snapshots,
     "union_events": _union,
+    "internal_flags": _internal_flags,
     "alert_documents": _alert_documents,
     "serving_rows": _serving,
     "event_keys": _event_keys,
@@ -362,6 +372,7 @@ _LAKE_COUNTS = a.sql("SELECT strftime(d, '%Y-%m-%d') AS event_date, event_datase
                      "GROUP BY 1, 2", _LAKE)
 _DATASET = "CASE WHEN event_type = 'error' THEN 'snort.alert' ELSE 'zeek.conn' END"
 _STAMP = f"strftime(event_time, {a.ISO})"
+_INTERNAL = r"regexp_matches({}, '^(10\.|192\.168\.|172\.(1[6-9]|2\d|3[01])\.)')"
 
 ORACLES: dict[str, str] = {
     "parse_conn_log": a.sql(f"""
@@ -414,6 +425,9 @@ ORACLES: dict[str, str] = {
                         "FROM lake GROUP BY 2", _LAKE),
     "lake_snapshots": a.sql("SELECT 'write' AS operation, count(*) AS record_count FROM lake "
                             "UNION ALL SELECT 'write', count(*) FROM ids", _LAKE),
+    "internal_flags": a.sql(f"""
+      SELECT {_INTERNAL.format('source_ip')} AS source_is_internal, {_INTERNAL.format('destination_ip')} AS destination_is_internal,
+        count(*) AS event_count, CAST(sum(network_bytes) AS BIGINT) AS network_bytes FROM conn GROUP BY 1, 2"""),
     "union_events": a.sql(f"""
       SELECT {_STAMP} AS event_timestamp, strftime(event_time, '%Y-%m-%d') AS event_date, 'zeek.conn' AS event_dataset,
         NULL AS event_severity, source_ip, source_bytes, network_protocol, NULL AS rule_id, zeek_conn_uid, NULL AS snort_xref,
