@@ -8,6 +8,7 @@ from fixture_rows import CONN_FLUSH, CONNS, IDS, IDS_FLUSH, conn, write_lines
 from pyspark.sql import functions as F
 
 from sentrylake.operators import detections as d
+from sentrylake.operators.joins import interval_join
 from sentrylake.schemas import ALERT_SCHEMA
 from sentrylake.sources.streams import read_conn_stream, read_ids_stream
 from sentrylake.streaming.eventtime import with_event_time
@@ -93,3 +94,20 @@ def test_rows_dropped_by_the_watermark_are_counted(spark, tmp_path):
     timed = rows.where("newest_event IS NOT NULL").collect()
     assert all(r.batch_ms > 0 and r.event_lag_ms is not None and r.started.year > 2000 for r in timed)
     assert rows.select("run_id").distinct().count() == 2
+
+
+@pytest.mark.parametrize("salt", [None, 3])
+def test_a_stream_join_compares_rows_near_in_time(spark, tmp_path, capsys, salt):
+    # One source all day long: rows of one key are told apart by bins, and pairs on their edges are kept, each once.
+    left = [("a", T0 + timedelta(minutes=m)) for m in range(0, 600, 7)] + [("b", T0), (None, T0), ("a", None)]
+    right = [("a", T0 + timedelta(minutes=m), m) for m in range(0, 600, 5)] + [("b", T0 + timedelta(hours=1), -1), (None, T0, -2), ("a", None, -3)]
+    alerts = files(spark, tmp_path / "left", left, "who string, t timestamp").withWatermark("t", "30 seconds")
+    flows = files(spark, tmp_path / "right", right, "who string, u timestamp, n int").withWatermark("u", "30 seconds")
+    joined = interval_join(alerts, flows, "who", "t", "u", "1 hour", "-10 minutes", salt=salt)
+    joined.explain()
+    keys = next(line for line in capsys.readouterr().out.splitlines() if "StreamingSymmetricHashJoin [" in line).split("]")[0]
+    assert "_bin" in keys
+    found = drain(joined.select("who", "t", "u", "n"), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    wanted = sorted((k, t, u, n) for k, t in left if k and t for o, u, n in right
+                    if o == k and u and t - timedelta(minutes=10) <= u <= t + timedelta(hours=1))
+    assert sorted(map(tuple, found.collect())) == wanted
