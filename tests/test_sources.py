@@ -11,7 +11,7 @@ from fixture_rows import CONNS, IDS, batch, conn, write_lines
 
 from sentrylake.schemas import CONN_SCHEMA, IDS_SCHEMA, LAKE_SCHEMA, align, to_dotted, to_flat, union_events
 from sentrylake.sinks.documents import ids_key, to_serving, with_event_key, write_alerts, write_results
-from sentrylake.sinks.lake import overwrite_run, upsert, write_lake
+from sentrylake.sinks.lake import newest_by_key, overwrite_run, upsert, write_lake
 from sentrylake.operators.detections import detect_protocol_anomaly
 from sentrylake.sources.conn_log import read_conn_log
 from sentrylake.sources.ids_blocks import read_ids_blocks
@@ -311,3 +311,17 @@ def test_alert_documents_in_batch_and_stream(spark, tmp_path):
     write_alerts(detect_protocol_anomaly(read_conn_stream(spark, {"path": source})), str(tmp_path / "s"), str(tmp_path / "k")).awaitTermination()
     b, s = (spark.read.json(str(tmp_path / x)) for x in "bs")
     assert b.count() == s.count() == len(plain.anomalies(CONNS)) and "source.ip" in b.columns and "@timestamp" in s.columns
+
+
+def test_newest_by_key_shuffles_rows_once(spark):
+    """Of 300 deliveries of an id, equal ones among them, a task hands on one."""
+    rows = spark.range(0, 3000, 1, 4).selectExpr("if(id % 10 = 9, NULL, id % 10) AS k", "if(id % 7 = 0, NULL, id % 50) AS at", "concat('x', id % 90) AS text")
+    found = newest_by_key(rows, ["k"], "at")
+    shown = found._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Exchange hashpartitioning") == 1 and "Join" not in shown
+    got = {r.k: (r["at"], r.text) for r in found.collect()}
+    assert len(got) == found.count() == 10
+    best = {}
+    for r in rows.withColumn("h", F.xxhash64("k", "at", "text")).collect():
+        best[r.k] = max(best.get(r.k, ((-1, -2 ** 63), None)), ((-1 if r["at"] is None else r["at"], r.h), (r["at"], r.text)))
+    assert got == {k: v for k, (_, v) in best.items()}
