@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.operators import detections as d
 from sentrylake.operators.joins import interval_join
+from sentrylake.plans import adapter, detect
 from sentrylake.schemas import ALERT_SCHEMA
 from sentrylake.sources.streams import read_conn_stream, read_ids_stream
 from sentrylake.streaming.eventtime import with_event_time
@@ -111,3 +112,36 @@ def test_a_stream_join_compares_rows_near_in_time(spark, tmp_path, capsys, salt)
     wanted = sorted((k, t, u, n) for k, t in left if k and t for o, u, n in right
                     if o == k and u and t - timedelta(minutes=10) <= u <= t + timedelta(hours=1))
     assert sorted(map(tuple, found.collect())) == wanted
+
+
+@pytest.mark.parametrize("name", ["port_scan", "correlation"])
+def test_paced_streams_raise_the_same_alerts_with_less_state(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(adapter, "FEED_ROWS", 20)
+    sf_dir, found, state = "/root/testdata/sf0.001", [], []
+    for paced in (False, True):
+        path = str(tmp_path / f"progress{paced}")
+        with progress_to(spark, path):
+            streams = [read(spark, sf_dir, paced=paced) for read in (adapter.conn_stream, adapter.ids_stream)]
+            found.append(drain(d.run_rule(name, *streams, detect.RULES), str(tmp_path / f"out{paced}"), str(tmp_path / f"ckpt{paced}")))
+        rows = read_progress(spark, path)
+        state.append(rows.agg(F.max("state_rows")).first()[0])
+        assert rows.agg(F.sum("late_rows")).first()[0] == 0
+        assert (rows.where("input_rows > 0").count() > 1) == paced
+    assert found[0].count() > 0
+    assert found[0].exceptAll(found[1]).isEmpty() and found[1].exceptAll(found[0]).isEmpty()
+    assert 2 * state[1] < state[0]
+
+
+def test_a_feed_is_written_in_order_of_time(spark, tmp_path):
+    # Many events at one time, some without any, in no order: each file has events, each write all files of its trigger.
+    rows = [(T0 + timedelta(minutes=(37 * i) % 100 if i % 3 else 50), i) for i in range(300)] + [(None, -1), (None, -2)]
+    events = spark.createDataFrame(rows, "event_timestamp timestamp, n long").repartition(4)
+    path = str(tmp_path / "feed")
+    adapter.write_feed(events, path, 30)
+    written = spark.read.parquet(path).selectExpr("*", "_metadata.file_path f", "_metadata.file_modification_time w")
+    files = written.groupBy("f", "w").agg(F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi")).orderBy("f").collect()
+    assert len(files) > 2 * adapter.FEED_FILES
+    groups = [files[i:i + adapter.FEED_FILES] for i in range(0, len(files), adapter.FEED_FILES)]
+    for now, then in zip(groups, groups[1:], strict=False):
+        assert max(f.w for f in now) < min(f.w for f in then) and max(f.hi for f in now) < min(f.lo for f in then)
+    assert sorted(r.n for r in written.collect()) == sorted(n for _, n in rows)
