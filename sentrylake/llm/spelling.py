@@ -4,6 +4,9 @@ A word is a binary vector with one place for each occurrence of each letter. One
 changes at most two places. The letters are parted; of ``parts`` parts all but two are then the same in both words, so the
 words share one of the signatures that name a choice of ``parts - 2`` parts with the letters in them. They also share the
 first or the last half of their letters. Signature and half make an equi-join, which tests the distance of what meets.
+
+All joins ask for a merge: a side holds as many rows as there are words, or 24 times as many, and Spark, which takes it for
+about as large as the word file, would collect it on the driver and broadcast it.
 """
 
 from __future__ import annotations
@@ -81,7 +84,7 @@ def near_words(words: DataFrame, parts: int = 4) -> DataFrame:
     keyed = prints.select("word", "n", F.explode(_keys(parts)).alias("key"))
     other = keyed.withColumnsRenamed({"word": "b", "n": "n_b"})
     met = keyed.withColumnsRenamed({"word": "a", "n": "n_a"}).join(
-        other, "key").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+        other.hint("merge"), "key").where((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "b", "n_a", "n_b").distinct()
 
 
@@ -103,13 +106,13 @@ def spelling_variants(words: DataFrame, ratio: int = 5, parts: int = 4) -> DataF
         F.struct(F.col("b").alias("word"), F.col("a").alias("near"), F.col("n_a").alias("near_n")))).alias("s"))
     best = sides.select("s.*").groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
-    joined = words.join(best, "word", "left").withColumn("form_n", -F.col("best.less"))
+    joined = words.join(best.hint("merge"), "word", "left").withColumn("form_n", -F.col("best.less"))
     kept = F.col("form_n") >= ratio * F.col("n")
     known = cut(joined.select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(kept, F.col("best.near")).alias("form"), F.when(kept, F.col("form_n")).alias("form_n")), "forms")
     roots = _roots(known, ratio)
-    return known.join(roots, "word", "left").select(
+    return known.join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
@@ -120,5 +123,6 @@ def _roots(known: DataFrame, ratio: int) -> DataFrame:
     roots = known.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
     for _ in range(max(0, math.ceil(math.log2(steps)))):
         further = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        roots = cut(roots.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots")
+        ways = roots.join(further.hint("merge"), "root", "left")
+        roots = cut(ways.select("word", F.coalesce("next", "root").alias("root")), "roots")
     return roots

@@ -113,3 +113,19 @@ def test_empty_tables_and_bad_settings(spark):
         spelling.spelling_variants(spelling.word_counts(docs), ratio=1)
     with pytest.raises(ValueError):
         spelling.near_words(spelling.word_counts(docs), parts=2)
+
+
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    plans, written = [], spelling.cut
+
+    def noting(df, label, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label, **options)
+
+    monkeypatch.setattr(spelling, "cut", noting)
+    words = spark.createDataFrame([("letter" + "s" * i, 6 ** i) for i in range(6)], "word string, n long")
+    found = spelling.spelling_variants(words)
+    assert len(set(r.root for r in found.collect())) == 1
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 3
+    assert not any("Broadcast" in plan for plan in plans)
