@@ -145,3 +145,23 @@ def test_a_feed_is_written_in_order_of_time(spark, tmp_path):
     for now, then in zip(groups, groups[1:], strict=False):
         assert max(f.w for f in now) < min(f.w for f in then) and max(f.hi for f in now) < min(f.lo for f in then)
     assert sorted(r.n for r in written.collect()) == sorted(n for _, n in rows)
+
+
+def test_events_are_shuffled_before_they_are_normalised(spark, tmp_path):
+    rows = [(i, T0 + timedelta(minutes=(37 * i) % 100) if i % 9 else None, i % 40 if i % 5 else None,
+             "view" if i % 2 else "error", 0.5 * i if i % 4 else None, f'{{"k": {i % 11}}}') for i in range(400)]
+    rows += rows[:20]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    ordered = adapter._in_order(events.repartition(3))
+    plan = ordered._jdf.queryExecution().optimizedPlan().toString()
+    assert -1 < plan.index("get_json_object") < plan.index("RepartitionByExpression")
+    ordered.write.parquet(f"{tmp_path}/events")
+    assert sorted(map(str, ordered.collect())) == sorted(map(str, adapter._normalised(events).collect()))
+    ranges = []
+    for file in (tmp_path / "events").glob("*.parquet"):
+        times = [r.event_timestamp for r in spark.read.parquet(str(file)).collect()]
+        known = [t for t in times if t is not None]
+        assert known == sorted(known) and times[len(times) - len(known):] == known
+        ranges += [(min(known), max(known))] if known else []
+    ranges.sort()
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
